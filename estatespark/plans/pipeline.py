@@ -1,0 +1,46 @@
+"""End-to-end wiring over the test tables: warehouse raw -> models -> materialised star."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..config import FIXTURE, Config
+from ..sources import fixture as FX
+from . import models as M
+from .star import Star, build_star, materialize_star
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.warehouse_raw(spark, sf_dir)
+
+
+def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.borough_seed(spark, sf_dir)
+
+
+def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.stg_transactions(raw(spark, sf_dir))
+
+
+def enriched(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
+    return M.enriched(stg(spark, sf_dir), M.stg_boroughs(seed(spark, sf_dir)), cfg)
+
+
+def priced(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
+    return M.priced(enriched(spark, sf_dir, cfg))
+
+
+def flagged(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
+    return M.flagged(priced(spark, sf_dir, cfg), cfg)
+
+
+def lazy_star(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> Star:
+    return build_star(spark, flagged(spark, sf_dir, cfg), cfg)
+
+
+def star(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> Star:
+    """The star written once per application and source (drop-and-rebuild marts)."""
+    def build() -> Star:
+        root = FX.materialized_path(spark, sf_dir, f"star_{abs(hash(cfg)):x}")
+        return materialize_star(spark, lazy_star(spark, sf_dir, cfg), root)
+    return FX.remember(spark, sf_dir, ("star", cfg), build)
