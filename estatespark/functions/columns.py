@@ -113,3 +113,17 @@ def postcode_district(postcode: str | Column) -> Column:
 def try_date(c: str | Column, prefix_chars: int = 10) -> Column:
     """Lenient date parse of the leading ISO characters; NULL when unparseable."""
     return F.try_to_date(F.left(col(c), F.lit(prefix_chars)))
+
+
+def rounded_mean(c: str | Column, digits: int) -> Column:
+    """Mean of values carrying at most ``digits`` decimals, rounded half away from zero to
+    ``digits``, computed exactly: sum and count in integer units of 10^-digits, so that a
+    tie (x.xx5) rounds the same way whatever the summation order."""
+    scale = 10 ** digits
+    units = F.round(col(c) * F.lit(scale)).cast("bigint")
+    s = F.sum(units)
+    n = F.count(units)
+    num = F.abs(s) * F.lit(2) + n
+    den = n * F.lit(2)
+    q = (num - F.pmod(num, den)) / den
+    return (F.signum(s) * q / F.lit(float(scale))).cast("double")

@@ -17,22 +17,22 @@ def oracle_sql() -> dict[str, str]:
     c = CFG
     o: dict[str, str] = {}
 
-    o["q_string_funcs"] = with_ctes(
+    o["q_string_funcs"] = (
         "SELECT transaction_id, postcode, postcode_area, postcode_district, town, district, county FROM stg")
-    o["q_try_date"] = with_ctes(
+    o["q_try_date"] = (
         "SELECT transaction_id, sale_date AS sale_date_text, "
         "TRY_CAST(left(sale_date, 10) AS DATE) AS sale_date FROM raw")
-    o["q_date_funcs"] = with_ctes(
+    o["q_date_funcs"] = (
         "SELECT transaction_id, sale_date, sale_year, sale_month, sale_quarter, sale_month_start, "
         "sale_quarter_start FROM stg")
-    o["q_code_mapping"] = with_ctes(
+    o["q_code_mapping"] = (
         "SELECT transaction_id, property_type_code, property_type, new_build_flag, is_new_build, "
         "tenure_code, tenure, ppd_type_code, ppd_type FROM stg")
-    o["q_price_bands"] = with_ctes("SELECT * FROM priced")
-    o["q_flags"] = with_ctes("SELECT * FROM flagged")
-    o["q_most_recent_year"] = with_ctes(
+    o["q_price_bands"] = ("SELECT * FROM priced")
+    o["q_flags"] = ("SELECT * FROM flagged")
+    o["q_most_recent_year"] = (
         "SELECT sale_year, is_most_recent_year, count(*) AS sales FROM flagged GROUP BY ALL")
-    o["q_pct_change"] = with_ctes(f"""
+    o["q_pct_change"] = (f"""
         SELECT sale_year, sales, prev_sales,
                {_pct('sales', 'prev_sales', 2)} AS sales_change_pct,
                {_pct('value', 'prev_value', 1)} AS value_change_pct,
@@ -42,30 +42,30 @@ def oracle_sql() -> dict[str, str]:
                      lag(value) OVER (ORDER BY sale_year ASC NULLS LAST) AS prev_value
               FROM (SELECT sale_year, count(*) AS sales, CAST(sum(price) AS BIGINT) AS value
                     FROM stg GROUP BY sale_year) y) w""")
-    o["q_surrogate_key"] = with_ctes(f"""
+    o["q_surrogate_key"] = (f"""
         SELECT transaction_id, {_skey('postcode_district', 'borough')} AS location_key,
                {_skey('property_type_code')} AS property_key,
                {_skey('sale_date', 'postcode_district')} AS date_district_key
         FROM enriched""")
-    o["q_date_spine"] = with_ctes("""
+    o["q_date_spine"] = ("""
         SELECT CAST(unnest(generate_series(min(sale_date), max(sale_date), INTERVAL 1 DAY)) AS DATE)
                AS date_day FROM stg""")
 
-    o["q_stg_transactions"] = with_ctes("SELECT * FROM stg")
-    o["q_enriched"] = with_ctes("SELECT * FROM enriched")
-    o["q_dim_date"] = with_ctes(date_dim_sql(
+    o["q_stg_transactions"] = ("SELECT * FROM stg")
+    o["q_enriched"] = ("SELECT * FROM enriched")
+    o["q_dim_date"] = (date_dim_sql(
         "SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min(sale_date)) AS DATE), "
         "CAST(date_trunc('year', max(sale_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE), "
         "INTERVAL 1 DAY)) AS DATE) AS d FROM stg"))
-    o["q_dim_location"] = with_ctes("SELECT * FROM dim_location")
-    o["q_dim_property"] = with_ctes("SELECT * FROM dim_property")
-    o["q_fact_transactions"] = with_ctes("SELECT * FROM fact")
-    o["q_star_join"] = with_ctes("""
+    o["q_dim_location"] = ("SELECT * FROM dim_location")
+    o["q_dim_property"] = ("SELECT * FROM dim_property")
+    o["q_fact_transactions"] = ("SELECT * FROM fact")
+    o["q_star_join"] = ("""
         SELECT fld.transaction_key, fld.borough, fld.london_region, fld.year, fld.quarter,
                p.property_type_name, p.property_category, fld.sale_price
         FROM fld JOIN dim_property p ON fld.property_key = p.property_key""")
 
-    o["q_group_stats"] = with_ctes("""
+    o["q_group_stats"] = ("""
         SELECT fld.london_region, p.property_type_name, count(*) AS transactions,
                round(avg(sale_price), 0) AS avg_price,
                round(median(sale_price), 0) AS median_price,
@@ -79,7 +79,7 @@ def oracle_sql() -> dict[str, str]:
         FROM fld WHERE year >= {c.recent_since_year}
         GROUP BY borough, postcode_district
         HAVING count(*) >= {c.min_postcode_sales}"""
-    o["q_having_min_count"] = with_ctes(having)
+    o["q_having_min_count"] = (having)
     seg_tenure = f"""
         SELECT borough, tenure_label, count(*) AS n, round(median(sale_price), 0) AS med
         FROM fl WHERE tenure_label IN ('Freehold', 'Leasehold') GROUP BY borough, tenure_label"""
@@ -90,22 +90,22 @@ def oracle_sql() -> dict[str, str]:
                sum(med) FILTER (WHERE tenure_label = 'Freehold') AS f_m,
                sum(med) FILTER (WHERE tenure_label = 'Leasehold') AS l_m
         FROM ({seg_tenure}) s GROUP BY borough"""
-    o["q_pivot_segments"] = with_ctes(f"""
+    o["q_pivot_segments"] = (f"""
         SELECT borough, coalesce(f_n, 0) AS freehold_txns, coalesce(f_m, 0) AS freehold_median,
                coalesce(l_n, 0) AS leasehold_txns, coalesce(l_m, 0) AS leasehold_median
         FROM ({pivot_tenure}) p""")
     activity = """
         SELECT borough, loc_central AS is_central_london, london_region, year, count(*) AS transactions
         FROM fld GROUP BY borough, loc_central, london_region, year"""
-    o["q_rank"] = with_ctes(f"""
+    o["q_rank"] = (f"""
         SELECT *, CAST(rank() OVER (PARTITION BY year ORDER BY transactions DESC) AS INTEGER) AS volume_rank
         FROM ({activity}) a""")
-    o["q_ntile"] = with_ctes(f"""
+    o["q_ntile"] = (f"""
         SELECT *, CAST(ntile(4) OVER (PARTITION BY year ORDER BY transactions DESC, borough,
                                        london_region) AS INTEGER) AS liquidity_quartile
         FROM ({activity}) a""")
 
-    o["q_borough_price_trends"] = with_ctes("""
+    o["q_borough_price_trends"] = ("""
         SELECT borough, loc_central AS is_central_london, london_region, year, quarter,
                year_quarter, quarter_start_date, count(*) AS transactions,
                round(avg(sale_price), 0) AS avg_price, round(median(sale_price), 0) AS median_price,
@@ -122,7 +122,7 @@ def oracle_sql() -> dict[str, str]:
         FROM fld GROUP BY borough, loc_central, london_region, year"""
 
     def yoy(partition: str, order: str) -> str:
-        return with_ctes(f"""
+        return (f"""
         SELECT borough, is_central_london, london_region, year, transactions, avg_price,
                median_price, pa AS prev_avg_price, pm AS prev_median_price,
                avg_price - pa AS yoy_avg_change_gbp, median_price - pm AS yoy_median_change_gbp,
@@ -137,7 +137,7 @@ def oracle_sql() -> dict[str, str]:
     o["q_yoy_growth"] = yoy("borough", "year, london_region")
     o["q_yoy_growth_by_region"] = yoy("borough, london_region", "year")
 
-    o["q_transaction_velocity"] = with_ctes(f"""
+    o["q_transaction_velocity"] = (f"""
         SELECT borough, is_central_london, london_region, year, transactions,
                round(transactions / 12.0, 0) AS avg_monthly_transactions,
                CAST(rank() OVER (PARTITION BY year ORDER BY transactions DESC) AS INTEGER) AS volume_rank,
@@ -151,7 +151,7 @@ def oracle_sql() -> dict[str, str]:
         FROM fl JOIN dim_property p USING (property_key)
         WHERE date_key >= {cal_lo} AND date_key < {cal_hi} AND year(date_key) = {y}
         GROUP BY borough, property_type_name"""
-    o["q_property_type_roi"] = with_ctes(f"""
+    o["q_property_type_roi"] = (f"""
         SELECT ov.borough, ov.property_type_name, ov.property_category, ov.total_transactions,
                ov.avg_price_overall, ov.median_price_overall,
                round(a.avg_first, 0) AS avg_price_first_year,
@@ -170,7 +170,7 @@ def oracle_sql() -> dict[str, str]:
     vp = _bands("p.postcode_median_price",
                 [(f"b.borough_median_price * {r}", lbl) for r, lbl in C.VALUE_POSITIONS],
                 C.TOP_VALUE_POSITION)
-    o["q_undervalued_postcodes"] = with_ctes(f"""
+    o["q_undervalued_postcodes"] = (f"""
         SELECT p.borough, p.postcode_district, p.postcode_transactions, p.postcode_median_price,
                b.borough_median_price,
                p.postcode_median_price - b.borough_median_price AS price_gap_gbp,
@@ -183,7 +183,7 @@ def oracle_sql() -> dict[str, str]:
     seg_nb = """
         SELECT borough, is_new_build, count(*) AS n, round(median(sale_price), 0) AS med
         FROM fl WHERE is_new_build IS NOT NULL GROUP BY borough, is_new_build"""
-    o["q_new_build_premium"] = with_ctes(f"""
+    o["q_new_build_premium"] = (f"""
         SELECT borough, nb_n AS new_build_txns, ex_n AS existing_txns, nb_m AS new_build_median,
                ex_m AS existing_median, nb_m - ex_m AS premium_gbp,
                {_pct('nb_m', 'ex_m', 1)} AS premium_pct
@@ -194,7 +194,7 @@ def oracle_sql() -> dict[str, str]:
                      coalesce(sum(med) FILTER (WHERE NOT is_new_build), 0) AS ex_m
               FROM ({seg_nb}) s GROUP BY borough) p
         WHERE nb_n >= {c.min_segment_sales} AND ex_n >= {c.min_segment_sales}""")
-    o["q_tenure_premium"] = with_ctes(f"""
+    o["q_tenure_premium"] = (f"""
         SELECT borough, coalesce(f_n, 0) AS freehold_txns, coalesce(l_n, 0) AS leasehold_txns,
                coalesce(f_m, 0) AS freehold_median, coalesce(l_m, 0) AS leasehold_median,
                coalesce(f_m, 0) - coalesce(l_m, 0) AS freehold_premium_gbp,
@@ -202,8 +202,9 @@ def oracle_sql() -> dict[str, str]:
         FROM ({pivot_tenure}) p
         WHERE coalesce(f_n, 0) >= {c.min_segment_sales} AND coalesce(l_n, 0) >= {c.min_segment_sales}""")
 
-    o["q_market_health"] = with_ctes(market_health_sql())
-    return o
+    o["q_market_health"] = market_health_sql()
+    o.update(more_bodies(o))
+    return {k: with_ctes(v) for k, v in o.items()}
 
 
 def market_health_sql(upper: bool = False) -> str:
@@ -232,3 +233,124 @@ def market_health_sql(upper: bool = False) -> str:
             expr = _pct("median_price", "prev_year_median", 2)
         sel.append(f"{expr} AS {col.upper() if upper else col}")
     return f"SELECT {', '.join(sel)} FROM ({inner}) m"
+
+
+def _rounded_mean(col: str, digits: int) -> str:
+    scale = 10 ** digits
+    units = f"CAST(round({col} * {scale}) AS BIGINT)"
+    s, n = f"sum({units})", f"count({units})"
+    return (f"CAST(sign({s}) * ((abs({s}) * 2 + {n}) // ({n} * 2)) / {float(scale)} AS DOUBLE)")
+
+
+def _filtered_raw() -> str:
+    return (f"SELECT * FROM raw_csv WHERE postcode IS NOT NULL AND "
+            f"NULLIF(regexp_extract(postcode, '^[A-Z]+', 0), '') IN {_in(CFG.areas)}")
+
+
+def more_bodies(o: dict[str, str]) -> dict[str, str]:
+    """Quality, ingestion and report queries (may embed earlier bodies as subqueries)."""
+    from .plans import quality_suite as QS
+    c = CFG
+    b: dict[str, str] = {}
+
+    def summary_row(check: str, rel: str, col: str, failures_sql: str, frm: str) -> str:
+        return (f"SELECT '{check}' AS check_name, '{rel}' AS relation, '{col}' AS column_name, "
+                f"CAST({failures_sql} AS BIGINT) AS failures FROM {frm}")
+
+    b["q_dq_unique"] = "\nUNION ALL\n".join(
+        summary_row("unique", r, col, "count(*)",
+                    f"(SELECT {col} FROM {r} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1) d")
+        for r, col in QS.UNIQUE_TESTS)
+    b["q_dq_not_null"] = "\nUNION ALL\n".join(
+        summary_row("not_null", r, col, f"count(*) FILTER (WHERE {col} IS NULL)", r)
+        for r, cols in QS.NOT_NULL_TESTS for col in cols)
+    b["q_dq_accepted_values"] = "\nUNION ALL\n".join(
+        summary_row("accepted_values", r, col, f"count(DISTINCT {col})",
+                    f"{r} WHERE {col} IS NOT NULL AND {col} NOT IN {_in(vals)}")
+        for r, col, vals in QS.ACCEPTED_VALUES_TESTS)
+    b["q_dq_relationships"] = "\nUNION ALL\n".join(
+        summary_row("relationships", r, col, "count(*)",
+                    f"{r} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+                    f"(SELECT 1 FROM {pr} pa WHERE pa.{pc} = ch.{col})")
+        for r, col, pr, pc in QS.RELATIONSHIP_TESTS)
+    b["q_dq_row_counts"] = "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, source_year, count(*) AS rows FROM {layer} GROUP BY source_year"
+        for layer in QS.ROW_COUNT_LAYERS)
+    b["q_dq_coverage"] = f"""
+        SELECT is_unmatched, n AS rows,
+               round(CAST(n AS DOUBLE) * 100.0 / CAST(sum(n) OVER () AS DOUBLE), 2) AS share_pct
+        FROM (SELECT borough = {_q(C.UNMATCHED_BOROUGH)} AS is_unmatched, count(*) AS n
+              FROM enriched GROUP BY 1) g"""
+
+    filt = _filtered_raw()
+    b["q_ingest_csv"] = "SELECT * FROM raw_csv"
+    b["q_ingest_filter"] = filt
+    b["q_ingest_stream"] = filt
+    b["q_union_years"] = f"SELECT source_year, count(*) AS rows FROM ({filt}) f GROUP BY source_year"
+    b["q_value_counts"] = f"""
+        SELECT 'property_type' AS column_name, CAST(property_type AS VARCHAR) AS value, count(*) AS n
+        FROM ({filt}) f GROUP BY property_type
+        UNION ALL
+        SELECT 'source_year', CAST(source_year AS VARCHAR), count(*) FROM ({filt}) f GROUP BY source_year"""
+    b["q_top_areas"] = f"""
+        SELECT postcode_area, count(*) AS n
+        FROM (SELECT NULLIF(regexp_extract(postcode, '^[A-Z]+', 0), '') AS postcode_area FROM ({filt}) f) a
+        GROUP BY postcode_area ORDER BY n DESC, postcode_area NULLS LAST LIMIT 10"""
+    b["q_profile_summary"] = f"""
+        SELECT count(*) AS rows, min(date) AS min_date, max(date) AS max_date,
+               min(price) AS min_price, max(price) AS max_price FROM ({filt}) f"""
+    text_cols = ", ".join(f"CAST({col} AS VARCHAR) AS {col}" if col == "price" else col
+                          for col in ("transaction_id", "price", "date", "postcode", "property_type",
+                                      "new_build", "tenure", "paon", "saon", "street", "locality",
+                                      "town", "district", "county", "ppd_type", "record_status"))
+    b["q_bronze_land"] = f"SELECT {text_cols}, source_year FROM raw_csv"
+    b["q_silver_roundtrip"] = f"""
+        SELECT * EXCLUDE (date), date AS sale_date, TIMESTAMP '{__import__('estatespark').sources.fixture.FIXTURE_LOADED_AT}' AS loaded_at
+        FROM ({filt}) f"""
+    b["q_export_csv"] = market_health_sql(upper=True)
+    b["q_stg_boroughs"] = "SELECT * FROM boroughs"
+
+    under = o["q_undervalued_postcodes"]
+    yoy = o["q_yoy_growth"]
+    vel = o["q_transaction_velocity"]
+    roi = o["q_property_type_roi"]
+    mh = o["q_market_health"]
+    b["q_value_position_counts"] = (f"SELECT value_position, count(*) AS postcodes FROM ({under}) u "
+                                    f"GROUP BY value_position")
+    growth = f"""
+        SELECT borough, year, {_rounded_mean('yoy_median_change_pct', 2)} AS yoy_growth_pct,
+               round(avg(median_price), 0) AS median_price
+        FROM ({yoy}) y WHERE year = (SELECT max(year) FROM ({yoy}) y2)
+        GROUP BY borough, year"""
+    b["q_borough_growth_ranking"] = f"""
+        SELECT *, CAST(rank() OVER (ORDER BY yoy_growth_pct DESC NULLS LAST) AS INTEGER) AS growth_rank
+        FROM ({growth}) g"""
+    liquidity = f"""
+        SELECT borough, CAST(sum(transactions) AS BIGINT) AS transactions
+        FROM ({vel}) v WHERE year = (SELECT max(year) FROM ({vel}) v2) GROUP BY borough"""
+    b["q_top_liquidity"] = (f"SELECT * FROM ({liquidity}) l ORDER BY transactions DESC, borough "
+                            f"LIMIT {c.top_liquidity_k}")
+    labels = dict(C.QUADRANT_LABELS)
+    b["q_investment_matrix"] = f"""
+        SELECT borough, yoy_growth_pct, median_price, transactions,
+               CASE WHEN yoy_growth_pct > mg AND transactions > ml THEN {_q(labels['high_growth_high_volume'])}
+                    WHEN yoy_growth_pct > mg THEN {_q(labels['high_growth_low_volume'])}
+                    WHEN transactions > ml THEN {_q(labels['low_growth_high_volume'])}
+                    ELSE {_q(labels['low_growth_low_volume'])} END AS quadrant
+        FROM (SELECT g.borough, g.yoy_growth_pct, g.median_price, l.transactions,
+                     median(g.yoy_growth_pct) OVER () AS mg, median(l.transactions) OVER () AS ml
+              FROM ({growth}) g JOIN ({liquidity}) l USING (borough)) x"""
+    b["q_type_consistency"] = f"""
+        SELECT property_type_name, count(*) AS boroughs, count(four_year_growth_pct) AS rated,
+               count(*) FILTER (WHERE four_year_growth_pct > 0) AS positive,
+               min(four_year_growth_pct) AS min_growth_pct, max(four_year_growth_pct) AS max_growth_pct,
+               round(CAST(count(*) FILTER (WHERE four_year_growth_pct > 0) AS DOUBLE)
+                     / CAST(NULLIF(count(four_year_growth_pct), 0) AS DOUBLE), 3) AS share_positive
+        FROM ({roi}) r GROUP BY property_type_name"""
+    b["q_growth_spread"] = f"""
+        SELECT m.year, g.best AS best_borough_growth_pct,
+               m.median_price_yoy_change_pct AS market_growth_pct,
+               round(g.best - m.median_price_yoy_change_pct, 2) AS spread_pct
+        FROM ({mh}) m, (SELECT max(yoy_growth_pct) AS best FROM ({growth}) gg) g
+        WHERE m.year = (SELECT max(year) FROM ({mh}) m2)"""
+    return b

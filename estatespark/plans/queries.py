@@ -252,3 +252,187 @@ def q_tenure_premium(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("q_market_health")
 def q_market_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.market_health(P.star(spark, sf_dir, CFG))
+
+
+# ---------------------------------------------------------------- data quality
+
+from . import quality_suite as QS  # noqa: E402
+
+
+@register("q_dq_unique")
+def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rels, _ = QS.relations(spark, sf_dir, CFG)
+    return QS.unique_summary(rels)
+
+
+@register("q_dq_not_null")
+def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rels, _ = QS.relations(spark, sf_dir, CFG)
+    return QS.not_null_summary(rels)
+
+
+@register("q_dq_accepted_values")
+def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rels, _ = QS.relations(spark, sf_dir, CFG)
+    return QS.accepted_values_summary(rels)
+
+
+@register("q_dq_relationships")
+def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rels, st = QS.relations(spark, sf_dir, CFG)
+    return QS.relationships_summary(rels, st)
+
+
+@register("q_dq_row_counts")
+def q_dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rels, _ = QS.relations(spark, sf_dir, CFG)
+    return QS.row_counts(rels)
+
+
+@register("q_dq_coverage")
+def q_dq_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QS.coverage(P.enriched(spark, sf_dir, CFG))
+
+
+# ---------------------------------------------------------------- ingestion, sources, sinks
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as SF  # noqa: E402
+from ..sources import fixture as FX  # noqa: E402
+from . import ingest as I  # noqa: E402
+
+
+def landed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The raw rows landed once per application as headerless yearly CSV (``pp=YYYY/``)."""
+    def land() -> str:
+        root = FX.materialized_path(spark, sf_dir, "landing/csv")
+        raw = P.raw(spark, sf_dir).withColumnRenamed("sale_date", "date") \
+            .select(*SF.RAW_COLUMNS, "source_year")
+        return SF.write_yearly_csv(raw, root)
+    return FX.remember(spark, sf_dir, "landed_csv", land)
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SF.read_yearly_csv(spark, f"{landed_csv(spark, sf_dir)}/pp=*", CFG.year_in_path_pattern)
+
+
+@register("q_ingest_csv")
+def q_ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headerless yearly files read with imposed names; year tagged from the file path."""
+    return ingested(spark, sf_dir)
+
+
+@register("q_ingest_filter")
+def q_ingest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.filter_areas(ingested(spark, sf_dir), CFG)
+
+
+@register("q_union_years")
+def q_union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two separately read batches of yearly files (1990s, 2000s) unioned, rows per year."""
+    root = landed_csv(spark, sf_dir)
+    both = I.read_years(spark, [f"{root}/pp=199*", f"{root}/pp=200*"], CFG)
+    return I.rows_per_year(I.filter_areas(both, CFG))
+
+
+@register("q_value_counts")
+def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.frequency_tables(I.filter_areas(ingested(spark, sf_dir), CFG),
+                              ["property_type", "source_year"])
+
+
+@register("q_top_areas")
+def q_top_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.top_areas(I.filter_areas(ingested(spark, sf_dir), CFG), 10)
+
+
+@register("q_profile_summary")
+def q_profile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.profile_summary(I.filter_areas(ingested(spark, sf_dir), CFG))
+
+
+@register("q_bronze_land")
+def q_bronze_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows landed untouched (all text, unfiltered) as year-partitioned Parquet."""
+    out = scratch_path(spark, "bronze")
+    SF.land_bronze(spark, f"{landed_csv(spark, sf_dir)}/pp=*", out, CFG.year_in_path_pattern)
+    return SF.read_partitioned(spark, out, [*SF.RAW_COLUMNS, "source_year"])
+
+
+@register("q_silver_roundtrip")
+def q_silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filtered typed rows -> Snappy Parquet by year -> warehouse shape."""
+    out = scratch_path(spark, "silver")
+    SF.write_silver(I.filter_areas(ingested(spark, sf_dir), CFG), out)
+    silver = SF.read_partitioned(spark, out, [*SF.RAW_COLUMNS, "source_year"])
+    return SF.to_warehouse(silver, FX.fixture_loaded_at())
+
+
+@register("q_lake_inventory")
+def q_lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the landed raw folder with their size (listing only, no file body read)."""
+    return SF.lake_inventory(spark, landed_csv(spark, sf_dir))
+
+
+@register("q_export_csv")
+def q_export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market summary exported as headed CSV with upper-case names, read back typed."""
+    mh = K.market_health(P.star(spark, sf_dir, CFG))
+    out = scratch_path(spark, "export")
+    SF.export_csv(mh, out)
+    return SF.read_export(spark, out, mh)
+
+
+@register("q_stg_boroughs")
+def q_stg_boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed written as a headed CSV, loaded with declared types, then normalised."""
+    path = scratch_path(spark, "seed")
+    SF.write_seed(P.seed(spark, sf_dir), path)
+    return M.stg_boroughs(SF.read_seed(spark, path))
+
+
+@register("q_ingest_stream")
+def q_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed files ingested by the streaming job (availableNow) into a silver table."""
+    from ..streaming.ingest import ingest_available
+    base = scratch_path(spark, "stream")
+    ingest_available(spark, landed_csv(spark, sf_dir), f"{base}/silver", f"{base}/_checkpoint", CFG)
+    return SF.read_partitioned(spark, f"{base}/silver", [*SF.RAW_COLUMNS, "source_year"],
+                               schema=SF.RAW_YEAR_SCHEMA)
+
+
+# ---------------------------------------------------------------- report results
+
+from . import report as R  # noqa: E402
+
+
+@register("q_value_position_counts")
+def q_value_position_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.value_position_counts(P.star(spark, sf_dir, CFG))
+
+
+@register("q_borough_growth_ranking")
+def q_borough_growth_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.borough_growth_ranking(K.yoy_growth(P.star(spark, sf_dir, CFG)))
+
+
+@register("q_top_liquidity")
+def q_top_liquidity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.top_liquidity(K.transaction_velocity(P.star(spark, sf_dir, CFG)), CFG.top_liquidity_k)
+
+
+@register("q_investment_matrix")
+def q_investment_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = P.star(spark, sf_dir, CFG)
+    return R.investment_matrix(K.yoy_growth(st), K.transaction_velocity(st))
+
+
+@register("q_type_consistency")
+def q_type_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.type_consistency(K.property_type_roi(P.star(spark, sf_dir, CFG)))
+
+
+@register("q_growth_spread")
+def q_growth_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = P.star(spark, sf_dir, CFG)
+    return R.growth_spread(K.yoy_growth(st), K.market_health(st))

@@ -21,6 +21,7 @@ RAW_COLUMNS = (
 RAW_SCHEMA = T.StructType(
     [T.StructField(c, T.LongType() if c == "price" else T.StringType(), True) for c in RAW_COLUMNS]
 )
+RAW_YEAR_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField("source_year", T.IntegerType(), True)])
 RAW_TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
 SEED_SCHEMA = T.StructType([
