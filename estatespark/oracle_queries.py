@@ -351,6 +351,7 @@ def more_bodies(o: dict[str, str]) -> dict[str, str]:
         SELECT m.year, g.best AS best_borough_growth_pct,
                m.median_price_yoy_change_pct AS market_growth_pct,
                round(g.best - m.median_price_yoy_change_pct, 2) AS spread_pct
-        FROM ({mh}) m, (SELECT max(yoy_growth_pct) AS best FROM ({growth}) gg) g
-        WHERE m.year = (SELECT max(year) FROM ({mh}) m2)"""
+        FROM (SELECT * FROM ({mh}) m1 WHERE year = (SELECT max(year) FROM ({mh}) m2)) m
+        JOIN (SELECT year, max(yoy_growth_pct) AS best FROM ({growth}) gg GROUP BY year) g
+          USING (year)"""
     return b

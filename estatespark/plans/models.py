@@ -83,9 +83,13 @@ def stg_boroughs(seed: DataFrame) -> DataFrame:
                        F.trim("borough").alias("borough"))
 
 
-def enriched(stg: DataFrame, boroughs: DataFrame, cfg: Config) -> DataFrame:
-    """Left lookup of the borough by postcode district; misses get 'Unmatched', no row lost."""
-    joined = lookup_join(stg, boroughs, "postcode_district", cfg.broadcast_max_rows)
+def enriched(stg: DataFrame, boroughs: DataFrame, cfg: Config,
+             lookup_rows: int | None = None) -> DataFrame:
+    """Left lookup of the borough by postcode district; misses get 'Unmatched', no row lost.
+
+    The lookup is broadcast when it is within ``cfg.broadcast_max_rows`` (``lookup_rows``
+    when known, else a bounded probe), otherwise joined by shuffle."""
+    joined = lookup_join(stg, boroughs, "postcode_district", cfg.broadcast_max_rows, lookup_rows)
     return joined.select(
         *[(F.coalesce(F.col("borough"), F.lit(C.UNMATCHED_BOROUGH)).alias("borough")
            if c == "borough" else
@@ -117,5 +121,6 @@ def flagged(pr: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def flagged_from_raw(raw: DataFrame, seed: DataFrame, cfg: Config) -> DataFrame:
-    return flagged(priced(enriched(stg_transactions(raw), stg_boroughs(seed), cfg)), cfg)
+def flagged_from_raw(raw: DataFrame, seed: DataFrame, cfg: Config,
+                     seed_rows: int | None = None) -> DataFrame:
+    return flagged(priced(enriched(stg_transactions(raw), stg_boroughs(seed), cfg, seed_rows)), cfg)

@@ -14,8 +14,19 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.warehouse_raw(spark, sf_dir)
 
 
+def seed_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The borough seed loaded once per application (a seed table) with its row count,
+    which later lookups use as the broadcast size check."""
+    def load():
+        path = FX.materialized_path(spark, sf_dir, "seed_boroughs")
+        FX.borough_seed(spark, sf_dir).write.mode("overwrite").parquet(path)
+        return path, spark.read.parquet(path).count()
+    path, rows = FX.remember(spark, sf_dir, "seed", load)
+    return spark.read.parquet(path), rows
+
+
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FX.borough_seed(spark, sf_dir)
+    return seed_table(spark, sf_dir)[0]
 
 
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +34,8 @@ def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
-    return M.enriched(stg(spark, sf_dir), M.stg_boroughs(seed(spark, sf_dir)), cfg)
+    sd, rows = seed_table(spark, sf_dir)
+    return M.enriched(stg(spark, sf_dir), M.stg_boroughs(sd), cfg, rows)
 
 
 def priced(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:

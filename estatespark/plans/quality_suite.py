@@ -68,8 +68,9 @@ def relations(spark, sf_dir: str, cfg):
     st = P.star(spark, sf_dir, cfg)
     raw = P.raw(spark, sf_dir)
     stg = M.stg_transactions(raw)
-    boroughs = M.stg_boroughs(P.seed(spark, sf_dir))
-    enr = M.enriched(stg, boroughs, cfg)
+    sd, seed_rows = P.seed_table(spark, sf_dir)
+    boroughs = M.stg_boroughs(sd)
+    enr = M.enriched(stg, boroughs, cfg, seed_rows)
     pr = M.priced(enr)
     fl = M.flagged(pr, cfg)
     return OrderedDict(raw=raw, stg=stg, boroughs=boroughs, enriched=enr, priced=pr, flagged=fl,

@@ -1,4 +1,10 @@
-"""Report-level results built on the KPI views (all inputs are small aggregated tables)."""
+"""Report-level results built on the KPI views.
+
+The inputs are aggregated tables (one row per borough, region and year), so the "latest
+year" and the median cut-offs are unpartitioned windows over those few rows. They are not
+scalar subqueries, which would plan the whole KPI (fact scan, joins, aggregation) a second
+time.
+"""
 
 from __future__ import annotations
 
@@ -11,27 +17,41 @@ from . import kpi as K
 from .star import Star
 
 
+
+def _all() -> Window:
+    """The whole (small, aggregated) input as one window."""
+    return Window.partitionBy()
+
+
+def latest_rows(df: DataFrame, year_col: str = "year") -> DataFrame:
+    """Rows of the latest year of a small aggregated table."""
+    return (df.select("*", F.max(year_col).over(_all()).alias("__latest"))
+            .where(F.col(year_col) == F.col("__latest")).drop("__latest"))
+
+
 def value_position_counts(star: Star) -> DataFrame:
     """How many qualifying districts fall in each value position."""
     return K.undervalued_postcodes(star).groupBy("value_position").agg(
         F.count(F.lit(1)).alias("postcodes"))
 
 
-def borough_growth_ranking(yoy: DataFrame) -> DataFrame:
+def borough_growth(yoy: DataFrame) -> DataFrame:
     """Latest-year growth per borough: the unweighted mean over its region rows of the
-    median YoY change, and the mean median price; ranked over all boroughs."""
-    latest = yoy.agg(F.max("year")).scalar()
-    per = yoy.where(F.col("year") == latest).groupBy("borough", "year").agg(
+    median YoY change (exact, half away from zero), and the mean median price."""
+    return latest_rows(yoy).groupBy("borough", "year").agg(
         rounded_mean("yoy_median_change_pct", 2).alias("yoy_growth_pct"),
         F.round(F.avg("median_price"), 0).alias("median_price"))
+
+
+def borough_growth_ranking(yoy: DataFrame) -> DataFrame:
+    """Every borough ranked by latest-year growth (ties share a rank)."""
     rank = F.rank().over(Window.orderBy(F.col("yoy_growth_pct").desc_nulls_last()))
-    return per.select("*", rank.alias("growth_rank"))
+    return borough_growth(yoy).select("*", rank.alias("growth_rank"))
 
 
 def borough_liquidity(velocity: DataFrame) -> DataFrame:
     """Latest-year sales per borough (region rows summed)."""
-    latest = velocity.agg(F.max("year")).scalar()
-    return velocity.where(F.col("year") == latest).groupBy("borough").agg(
+    return latest_rows(velocity).groupBy("borough").agg(
         F.sum("transactions").alias("transactions"))
 
 
@@ -42,19 +62,18 @@ def top_liquidity(velocity: DataFrame, k: int) -> DataFrame:
 
 def investment_matrix(yoy: DataFrame, velocity: DataFrame) -> DataFrame:
     """Growth x liquidity quadrants, cut at the median of each axis over all boroughs."""
-    g = borough_growth_ranking(yoy).select("borough", "yoy_growth_pct", "median_price")
-    liq = borough_liquidity(velocity)
-    both = g.join(liq, "borough")
-    g_cut = both.agg(F.median("yoy_growth_pct")).scalar()
-    l_cut = both.agg(F.median("transactions")).scalar()
-    hi_g = F.col("yoy_growth_pct") > g_cut
-    hi_l = F.col("transactions") > l_cut
+    g = borough_growth(yoy).select("borough", "yoy_growth_pct", "median_price")
+    both = g.join(borough_liquidity(velocity), "borough")
+    cuts = both.select("*", F.median("yoy_growth_pct").over(_all()).alias("__g"),
+                       F.median("transactions").over(_all()).alias("__l"))
+    hi_g = F.col("yoy_growth_pct") > F.col("__g")
+    hi_l = F.col("transactions") > F.col("__l")
     labels = dict(C.QUADRANT_LABELS)
     quadrant = (F.when(hi_g & hi_l, F.lit(labels["high_growth_high_volume"]))
                 .when(hi_g, F.lit(labels["high_growth_low_volume"]))
                 .when(hi_l, F.lit(labels["low_growth_high_volume"]))
                 .otherwise(F.lit(labels["low_growth_low_volume"])))
-    return both.select("borough", "yoy_growth_pct", "median_price", "transactions",
+    return cuts.select("borough", "yoy_growth_pct", "median_price", "transactions",
                        quadrant.alias("quadrant"))
 
 
@@ -73,10 +92,12 @@ def type_consistency(roi: DataFrame) -> DataFrame:
 
 
 def growth_spread(yoy: DataFrame, market: DataFrame) -> DataFrame:
-    """Best borough growth minus the market's median-price change in the latest year."""
-    best = borough_growth_ranking(yoy).agg(F.max("yoy_growth_pct")).scalar()
-    latest = market.agg(F.max("year")).scalar()
-    m = market.where(F.col("year") == latest)
-    return m.select("year", best.alias("best_borough_growth_pct"),
-                    F.col("median_price_yoy_change_pct").alias("market_growth_pct"),
-                    F.round(best - F.col("median_price_yoy_change_pct"), 2).alias("spread_pct"))
+    """Best borough growth minus the market's median-price change, in the latest year."""
+    best = borough_growth(yoy).groupBy("year").agg(
+        F.max("yoy_growth_pct").alias("best_borough_growth_pct"))
+    m = latest_rows(market).select("year", F.col("median_price_yoy_change_pct")
+                                   .alias("market_growth_pct"))
+    return m.join(best, "year").select(
+        "year", "best_borough_growth_pct", "market_growth_pct",
+        F.round(F.col("best_borough_growth_pct") - F.col("market_growth_pct"), 2)
+        .alias("spread_pct"))
