@@ -144,7 +144,11 @@ class Config:
     million_plus: int = MILLION_PLUS
     super_prime: int = SUPER_PRIME
     top_liquidity_k: int = 5
-    # Exact medians by default; a relative accuracy switches to percentile_approx.
+    # Exact medians: "map" = built-in percentile (map-side value->count maps, final merge per
+    # group in one task); "distributed" = operators.median.distributed_median (hot groups
+    # split over buckets at every stage). An accuracy instead opts into percentile_approx.
+    median_strategy: str = "map"
+    median_buckets: int = 256
     approx_median_accuracy: int | None = None
     # Largest row count a lookup / dimension may have to be broadcast.
     broadcast_max_rows: int = 1_000_000

@@ -29,6 +29,31 @@ def price_stats(price: str = "sale_price", digits: int = 0, approx: int | None =
     return [exprs[w] for w in which]
 
 
+def agg_with_medians(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
+                     medians: Sequence[tuple[str, str, int]], cfg) -> DataFrame:
+    """Group ``rows`` by ``keys`` computing ``aggs`` plus exact medians.
+
+    ``medians`` = [(value column, alias, rounding digits)]. Output columns: keys, aggs,
+    medians. With ``cfg.median_strategy == "distributed"`` each median is computed by
+    ``distributed_median`` (no group funnelled through one task) and joined back on the keys
+    (both sides one row per group); otherwise the built-in exact median runs inside the same
+    aggregation.
+    """
+    keys = list(keys)
+    if cfg.median_strategy == "distributed" and not cfg.approx_median_accuracy:
+        from .median import distributed_median, join_on_keys
+        base = (rows.groupBy(*keys).agg(*aggs) if aggs
+                else rows.select(*keys).distinct())
+        out_cols = list(base.columns)
+        for value, alias, digits in medians:
+            m = distributed_median(rows, keys, value, "__m", cfg.median_buckets)
+            base = join_on_keys(base, m.select(*keys, F.round("__m", digits).alias(alias)), keys)
+            out_cols.append(alias)
+        return base.select(*out_cols)
+    med_cols = [F.round(median(v, cfg.approx_median_accuracy), d).alias(a) for v, a, d in medians]
+    return rows.groupBy(*keys).agg(*aggs, *med_cols)
+
+
 def conditional_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str,
                       categories: Sequence[tuple[object, str]],
                       measures: Sequence[tuple[str, str]]) -> DataFrame:

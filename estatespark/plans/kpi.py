@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import bucketize, code_map, exact_avg, median, pct_change
-from ..operators.aggregates import conditional_pivot, price_stats
+from ..operators.aggregates import agg_with_medians, conditional_pivot, price_stats
 from ..operators.windows import change_columns, rank_within, tile_within, with_previous
 from .star import Star
 
@@ -61,16 +61,19 @@ def borough_price_trends(star: Star) -> DataFrame:
     """Per borough (and region) and calendar quarter: volume and price statistics."""
     rows = star_rows(star, ["sale_price"], BOROUGH_KEYS,
                      ["year", "quarter", "year_quarter", "quarter_start_date"])
-    return rows.groupBy(*BOROUGH_KEYS, "year", "quarter", "year_quarter", "quarter_start_date").agg(
-        *price_stats(approx=star.cfg.approx_median_accuracy,
-                     which=("transactions", "avg_price", "median_price", "min_price", "max_price",
-                            "price_stddev", "price_volatility_ratio")))
+    keys = [*BOROUGH_KEYS, "year", "quarter", "year_quarter", "quarter_start_date"]
+    stats = agg_with_medians(rows, keys, price_stats(
+        which=("transactions", "avg_price", "min_price", "max_price", "price_stddev",
+               "price_volatility_ratio")), [("sale_price", "median_price", 0)], star.cfg)
+    return stats.select(*keys, "transactions", "avg_price", "median_price", "min_price",
+                        "max_price", "price_stddev", "price_volatility_ratio")
 
 
 def yearly_borough_prices(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price"], BOROUGH_KEYS, ["year"])
-    return rows.groupBy(*BOROUGH_KEYS, "year").agg(
-        *price_stats(approx=star.cfg.approx_median_accuracy))
+    return agg_with_medians(rows, [*BOROUGH_KEYS, "year"],
+                            price_stats(which=("transactions", "avg_price")),
+                            [("sale_price", "median_price", 0)], star.cfg)
 
 
 def yoy_growth(star: Star, lag_keys: Sequence[str] = ("borough",),
@@ -141,15 +144,14 @@ def property_type_roi(star: Star) -> DataFrame:
     first = in_cal & (F.col("sale_year") == F.lit(cfg.first_year))
     last = in_cal & (F.col("sale_year") == F.lit(cfg.last_year))
     p = F.col("sale_price")
-    agg = rows.groupBy("borough", "property_type_name", "property_category").agg(
+    agg = agg_with_medians(rows, ["borough", "property_type_name", "property_category"], [
         F.count(F.lit(1)).alias("total_transactions"),
         F.round(exact_avg(p), 0).alias("avg_price_overall"),
-        F.round(median(p, cfg.approx_median_accuracy), 0).alias("median_price_overall"),
         exact_avg(F.when(first, p)).alias("_avg_first"),
         exact_avg(F.when(last, p)).alias("_avg_last"),
         F.nullif(F.count_if(first), F.lit(0)).alias("transactions_first_year"),
         F.nullif(F.count_if(last), F.lit(0)).alias("transactions_last_year"),
-    )
+    ], [("sale_price", "median_price_overall", 0)], cfg)
     return agg.where(F.col("total_transactions") >= F.lit(cfg.min_type_sales)).select(
         "borough", "property_type_name", "property_category", "total_transactions",
         "avg_price_overall", "median_price_overall",
@@ -165,11 +167,13 @@ def postcode_stats(star: Star) -> DataFrame:
     cfg = star.cfg
     rows = star_rows(star, ["sale_price"], ["borough", "postcode_district"], ["year"],
                      years=(cfg.recent_since_year, None))
-    return rows.groupBy("borough", "postcode_district").agg(
+    stats = agg_with_medians(rows, ["borough", "postcode_district"], [
         F.count(F.lit(1)).alias("postcode_transactions"),
-        F.round(median("sale_price", cfg.approx_median_accuracy), 0).alias("postcode_median_price"),
         F.round(exact_avg("sale_price"), 0).alias("postcode_avg_price"),
-    ).where(F.col("postcode_transactions") >= F.lit(cfg.min_postcode_sales))
+    ], [("sale_price", "postcode_median_price", 0)], cfg)
+    return stats.where(F.col("postcode_transactions") >= F.lit(cfg.min_postcode_sales)).select(
+        "borough", "postcode_district", "postcode_transactions", "postcode_median_price",
+        "postcode_avg_price")
 
 
 def undervalued_postcodes(star: Star) -> DataFrame:
@@ -195,9 +199,8 @@ def undervalued_postcodes(star: Star) -> DataFrame:
 def _segment_premium(star: Star, seg_col: str, seg_filter, categories, names) -> DataFrame:
     cfg = star.cfg
     rows = star_rows(star, ["sale_price", seg_col], ["borough"]).where(seg_filter)
-    per_seg = rows.groupBy("borough", seg_col).agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.round(median("sale_price", cfg.approx_median_accuracy), 0).alias("median_price"))
+    per_seg = agg_with_medians(rows, ["borough", seg_col], [F.count(F.lit(1)).alias("transactions")],
+                               [("sale_price", "median_price", 0)], cfg)
     return conditional_pivot(per_seg, ["borough"], seg_col, categories,
                              [("transactions", "_txns"), ("median_price", "_median")])
 
@@ -231,17 +234,19 @@ def yearly_market(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price", "is_million_plus", "is_super_prime",
                             "is_central_london"], ["borough", "postcode_district"], ["year"])
     p = F.col("sale_price")
-    return rows.groupBy("year").agg(
+    stats = agg_with_medians(rows, ["year"], [
         F.count(F.lit(1)).alias("total_transactions"),
         F.round(exact_avg(p), 0).alias("avg_price"),
-        F.round(median(p, cfg.approx_median_accuracy), 0).alias("median_price"),
         F.sum(p).alias("total_volume_gbp"),
         F.count_if(F.col("is_million_plus")).alias("million_plus_transactions"),
         F.count_if(F.col("is_super_prime")).alias("super_prime_transactions"),
         F.count_if(F.col("is_central_london")).alias("central_london_transactions"),
         F.count_distinct("borough").alias("active_boroughs"),
         F.count_distinct("postcode_district").alias("active_postcodes"),
-    )
+    ], [("sale_price", "median_price", 0)], cfg)
+    return stats.select("year", "total_transactions", "avg_price", "median_price",
+                        "total_volume_gbp", "million_plus_transactions", "super_prime_transactions",
+                        "central_london_transactions", "active_boroughs", "active_postcodes")
 
 
 def market_health(star: Star) -> DataFrame:

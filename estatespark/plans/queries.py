@@ -167,10 +167,10 @@ def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, mean, exact median, min, max per (region, property type)."""
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price"], ["london_region"], ["year"], ["property_type_name"])
-    from ..operators.aggregates import price_stats
-    return rows.groupBy("london_region", "property_type_name").agg(
-        *price_stats(which=("transactions", "avg_price", "median_price", "min_price",
-                            "max_price")))
+    from ..operators.aggregates import agg_with_medians, price_stats
+    return agg_with_medians(rows, ["london_region", "property_type_name"], price_stats(
+        which=("transactions", "avg_price", "min_price", "max_price")),
+        [("sale_price", "median_price", 0)], CFG)
 
 
 @register("q_having_min_count")
@@ -184,10 +184,9 @@ def q_pivot_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price", "tenure_label"], ["borough"]).where(
         F.col("tenure_label").isin("Freehold", "Leasehold"))
-    from ..functions import median
-    per = rows.groupBy("borough", "tenure_label").agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.round(median("sale_price"), 0).alias("median_price"))
+    from ..operators.aggregates import agg_with_medians
+    per = agg_with_medians(rows, ["borough", "tenure_label"], [F.count(F.lit(1)).alias("transactions")],
+                           [("sale_price", "median_price", 0)], CFG)
     return conditional_pivot(per, ["borough"], "tenure_label",
                              [("Freehold", "freehold"), ("Leasehold", "leasehold")],
                              [("transactions", "_txns"), ("median_price", "_median")])
