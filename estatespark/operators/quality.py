@@ -76,5 +76,30 @@ def relationship_count(child: DataFrame, relation: str, column: str, parent: Dat
     return fails.agg(*_row("relationships", relation, column, F.count(F.lit(1))))
 
 
+def relationship_counts(child: DataFrame, relation: str,
+                        tests: Sequence[tuple[str, DataFrame, str, int | None]],
+                        max_rows: int) -> DataFrame:
+    """All relationship checks of one child relation in ONE scan of the child.
+
+    ``tests`` = [(child column, parent frame, parent column, known parent rows)]. Each
+    parent's distinct keys are LEFT-joined (broadcast when within ``max_rows``) with a
+    presence marker; one aggregate counts non-null child keys whose marker is NULL, then the
+    counts are unpivoted to one summary row per check.
+    """
+    from .joins import bounded_broadcast
+    rows = child.select(*[c for c, _, _, _ in tests])
+    for i, (c, parent, pc, known) in enumerate(tests):
+        keys = (parent.select(F.col(pc).alias(f"__p{i}")).distinct()
+                .withColumn(f"__hit{i}", F.lit(True)))
+        rows = rows.join(bounded_broadcast(keys, max_rows, known),
+                         F.col(c) == F.col(f"__p{i}"), "left")
+    counts = rows.agg(*[F.count_if(F.col(c).isNotNull() & F.col(f"__hit{i}").isNull()).alias(c)
+                        for i, (c, _, _, _) in enumerate(tests)])
+    stacked = counts.unpivot([], [c for c, _, _, _ in tests], "column_name", "failures")
+    return stacked.select(F.lit("relationships").alias("check_name"),
+                          F.lit(relation).alias("relation"), "column_name",
+                          F.col("failures").cast("bigint").alias("failures"))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

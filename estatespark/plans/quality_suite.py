@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators.quality import (accepted_values_count, not_null_counts, relationship_count,
+from ..operators.quality import (accepted_values_count, not_null_counts, relationship_counts,
                                  union_all, unique_count)
 
 # The declared tests (relation, column) per check, in declaration order.
@@ -94,8 +94,10 @@ def relationships_summary(rels, star) -> DataFrame:
     known = {"dim_date": star.date_rows, "dim_location": star.location_rows,
              "dim_property": star.property_rows}
     cap = star.cfg.broadcast_max_rows
-    return union_all([relationship_count(rels[r], r, c, rels[pr], pc, cap, known.get(pr))
-                      for r, c, pr, pc in RELATIONSHIP_TESTS])
+    by_child: "OrderedDict[str, list]" = OrderedDict()
+    for r, c, pr, pc in RELATIONSHIP_TESTS:
+        by_child.setdefault(r, []).append((c, rels[pr], pc, known.get(pr)))
+    return union_all([relationship_counts(rels[r], r, tests, cap) for r, tests in by_child.items()])
 
 
 def row_counts(rels) -> DataFrame:

@@ -18,3 +18,13 @@ def test_relationships(spark):
     assert Q.relationship_count(child, "c", "k", parent, "k", 100).first().failures == 1
     # beyond the broadcast bound the same check runs as a shuffle anti-join
     assert Q.relationship_count(child, "c", "k", parent, "k", 1).first().failures == 1
+
+
+def test_fused_relationships_one_scan(spark):
+    child = spark.createDataFrame([(1, "a"), (2, "x"), (None, "b"), (3, None), (3, "a")],
+                                  "k int, s string")
+    p1 = spark.createDataFrame([(1,), (3,), (3,)], "k int")  # duplicate parent keys are fine
+    p2 = spark.createDataFrame([("a",), ("b",)], "s string")
+    got = {r.column_name: r.failures for r in Q.relationship_counts(
+        child, "c", [("k", p1, "k", None), ("s", p2, "s", 2)], 100).collect()}
+    assert got == {"k": 1, "s": 1}
