@@ -10,8 +10,13 @@ from . import models as M
 from .star import Star, build_star, materialize_star
 
 
+# Layer frames are memoised per application, source and parameters. A DataFrame is an
+# immutable plan over immutable written tables, so reusing the object only saves re-listing
+# files and re-analysing the chain; it caches no data.
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FX.warehouse_raw(spark, sf_dir)
+    return FX.remember(spark, sf_dir, "raw_df", lambda: FX.warehouse_raw(spark, sf_dir))
 
 
 def seed_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
@@ -21,8 +26,10 @@ def seed_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
         path = FX.materialized_path(spark, sf_dir, "seed_boroughs")
         FX.borough_seed(spark, sf_dir).write.mode("overwrite").parquet(path)
         return path, spark.read.parquet(path).count()
-    path, rows = FX.remember(spark, sf_dir, "seed", load)
-    return spark.read.parquet(path), rows
+    def frame():
+        path, rows = FX.remember(spark, sf_dir, "seed", load)
+        return spark.read.parquet(path), rows
+    return FX.remember(spark, sf_dir, "seed_df", frame)
 
 
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,20 +37,29 @@ def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.stg_transactions(raw(spark, sf_dir))
+    return FX.remember(spark, sf_dir, "stg_df", lambda: M.stg_transactions(raw(spark, sf_dir)))
+
+
+def boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FX.remember(spark, sf_dir, "boroughs_df",
+                       lambda: M.stg_boroughs(seed_table(spark, sf_dir)[0]))
 
 
 def enriched(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
-    sd, rows = seed_table(spark, sf_dir)
-    return M.enriched(stg(spark, sf_dir), M.stg_boroughs(sd), cfg, rows)
+    def build():
+        rows = seed_table(spark, sf_dir)[1]
+        return M.enriched(stg(spark, sf_dir), boroughs(spark, sf_dir), cfg, rows)
+    return FX.remember(spark, sf_dir, ("enriched_df", cfg), build)
 
 
 def priced(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
-    return M.priced(enriched(spark, sf_dir, cfg))
+    return FX.remember(spark, sf_dir, ("priced_df", cfg),
+                       lambda: M.priced(enriched(spark, sf_dir, cfg)))
 
 
 def flagged(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
-    return M.flagged(priced(spark, sf_dir, cfg), cfg)
+    return FX.remember(spark, sf_dir, ("flagged_df", cfg),
+                       lambda: M.flagged(priced(spark, sf_dir, cfg), cfg))
 
 
 def lazy_star(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> Star:

@@ -63,16 +63,14 @@ ROW_COUNT_LAYERS = ("raw", "stg", "enriched", "priced", "flagged", "fact")
 
 def relations(spark, sf_dir: str, cfg):
     """All layers by name, and the materialised star."""
-    from . import models as M
     from . import pipeline as P
     st = P.star(spark, sf_dir, cfg)
     raw = P.raw(spark, sf_dir)
-    stg = M.stg_transactions(raw)
-    sd, seed_rows = P.seed_table(spark, sf_dir)
-    boroughs = M.stg_boroughs(sd)
-    enr = M.enriched(stg, boroughs, cfg, seed_rows)
-    pr = M.priced(enr)
-    fl = M.flagged(pr, cfg)
+    stg = P.stg(spark, sf_dir)
+    boroughs = P.boroughs(spark, sf_dir)
+    enr = P.enriched(spark, sf_dir, cfg)
+    pr = P.priced(spark, sf_dir, cfg)
+    fl = P.flagged(spark, sf_dir, cfg)
     return OrderedDict(raw=raw, stg=stg, boroughs=boroughs, enriched=enr, priced=pr, flagged=fl,
                        dim_date=st.dim_date, dim_location=st.dim_location,
                        dim_property=st.dim_property, fact=st.fact), st

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LONDON_AREAS
+from ..operators.joins import bounded_broadcast
 from ..session import app_id, shared_dir
 from .files import RAW_COLUMNS, read_partitioned, to_warehouse
 
@@ -45,6 +46,7 @@ ADDITIONAL_PPD_EVERY = 20
 UNMATCHED_DISTRICT_EVERY = 29
 DISTRICTS_PER_NATION = 6
 PRICE_SCALE = 12
+REFERENCE_TABLE_MAX_ROWS = 10_000
 
 _lock = threading.RLock()
 _materialized: dict[tuple, str] = {}
@@ -71,9 +73,13 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    # Fixed-size reference tables: 25 nations, 5 regions.
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    # Reference tables of fixed size (25 nations, 5 regions): broadcast behind the same
+    # bounded size probe as every other lookup (runs once: the result is materialised).
+    nation = bounded_broadcast(
+        table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"),
+        REFERENCE_TABLE_MAX_ROWS)
+    region = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
+                               REFERENCE_TABLE_MAX_ROWS)
 
     j = (orders.join(customer, orders.o_custkey == customer.c_custkey)
          .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
