@@ -63,7 +63,7 @@ ROW_COUNT_LAYERS = ("raw", "stg", "enriched", "priced", "flagged", "fact")
 
 def relations(spark, sf_dir: str, cfg):
     """All layers by name, and the materialised star."""
-    from . import pipeline as P
+    from . import layers as P
     st = P.star(spark, sf_dir, cfg)
     raw = P.raw(spark, sf_dir)
     stg = P.stg(spark, sf_dir)

@@ -17,7 +17,7 @@ from ..operators.aggregates import conditional_pivot
 from ..operators.windows import rank_within, tile_within, with_previous
 from . import kpi as K
 from . import models as M
-from . import pipeline as P
+from . import layers as P
 from .star import dim_date_for, date_attributes
 from ..operators.spine import date_spine
 

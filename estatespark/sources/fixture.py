@@ -188,7 +188,7 @@ def warehouse_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _lock:
         path = _materialized.get(key)
         if path is None:
-            path = materialized_path(spark, sf_dir, "raw_land_registry")
+            path = materialized_path(spark, sf_dir, "raw_sales")
             (warehouse_raw_lazy(spark, sf_dir).write.mode("overwrite")
              .partitionBy("source_year").parquet(path))
             _materialized[key] = path

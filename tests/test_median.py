@@ -45,7 +45,7 @@ def test_kpis_equal_under_both_median_strategies(spark):
     from conftest import SF001
     from estatespark.config import FIXTURE
     from estatespark.plans import kpi as K
-    from estatespark.plans import pipeline as P
+    from estatespark.plans import layers as P
     from estatespark.plans.star import Star
     base = P.star(spark, SF001, FIXTURE)
     dist = Star(**{**base.__dict__, "cfg": FIXTURE.with_(median_strategy="distributed",
