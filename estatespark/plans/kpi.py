@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import bucketize, code_map, exact_avg, median, pct_change
+from ..functions import bucketize, code_map, exact_avg, pct_change
 from ..operators.aggregates import agg_with_medians, conditional_pivot, price_stats
 from ..operators.windows import change_columns, rank_within, tile_within, with_previous
 from .star import Star

@@ -12,14 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE
-from ..functions import pct_change, surrogate_key
-from ..operators.aggregates import conditional_pivot
+from ..functions import pct_change, surrogate_key, try_date
+from ..operators.aggregates import agg_with_medians, conditional_pivot, price_stats
+from ..operators.spine import date_spine
 from ..operators.windows import rank_within, tile_within, with_previous
+from ..session import scratch_path
+from ..sources import files as SF
+from ..sources import fixture as FX
+from ..streaming.ingest import ingest_available
+from . import ingest as I
 from . import kpi as K
-from . import models as M
 from . import layers as P
-from .star import dim_date_for, date_attributes
-from ..operators.spine import date_spine
+from . import models as M
+from . import quality_suite as QS
+from . import report as R
+from .star import dim_date_for
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,7 +55,6 @@ def q_string_funcs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_try_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lenient parse of the raw date text: NULL on failure, never an error."""
     r = P.raw(spark, sf_dir)
-    from ..functions import try_date
     return r.select("transaction_id", F.col("sale_date").alias("sale_date_text"),
                     try_date("sale_date").alias("sale_date"))
 
@@ -167,7 +173,6 @@ def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, mean, exact median, min, max per (region, property type)."""
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price"], ["london_region"], ["year"], ["property_type_name"])
-    from ..operators.aggregates import agg_with_medians, price_stats
     return agg_with_medians(rows, ["london_region", "property_type_name"], price_stats(
         which=("transactions", "avg_price", "min_price", "max_price")),
         [("sale_price", "median_price", 0)], CFG)
@@ -184,7 +189,6 @@ def q_pivot_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price", "tenure_label"], ["borough"]).where(
         F.col("tenure_label").isin("Freehold", "Leasehold"))
-    from ..operators.aggregates import agg_with_medians
     per = agg_with_medians(rows, ["borough", "tenure_label"], [F.count(F.lit(1)).alias("transactions")],
                            [("sale_price", "median_price", 0)], CFG)
     return conditional_pivot(per, ["borough"], "tenure_label",
@@ -255,8 +259,6 @@ def q_market_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- data quality
 
-from . import quality_suite as QS  # noqa: E402
-
 
 @register("q_dq_unique")
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,11 +297,6 @@ def q_dq_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ingestion, sources, sinks
 
-from ..session import scratch_path  # noqa: E402
-from ..sources import files as SF  # noqa: E402
-from ..sources import fixture as FX  # noqa: E402
-from . import ingest as I  # noqa: E402
-
 
 def landed_csv(spark: SparkSession, sf_dir: str) -> str:
     """The raw rows landed once per application as headerless yearly CSV (``pp=YYYY/``)."""
@@ -393,7 +390,6 @@ def q_stg_boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("q_ingest_stream")
 def q_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed files ingested by the streaming job (availableNow) into a silver table."""
-    from ..streaming.ingest import ingest_available
     base = scratch_path(spark, "stream")
     ingest_available(spark, landed_csv(spark, sf_dir), f"{base}/silver", f"{base}/_checkpoint", CFG)
     return SF.read_partitioned(spark, f"{base}/silver", [*SF.RAW_COLUMNS, "source_year"],
@@ -402,8 +398,6 @@ def q_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- report results
 
-from . import report as R  # noqa: E402
-
 
 @register("q_value_position_counts")
 def q_value_position_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
