@@ -145,9 +145,12 @@ class Config:
     super_prime: int = SUPER_PRIME
     top_liquidity_k: int = 5
     # Exact medians: "map" = built-in percentile (map-side value->count maps, final merge per
-    # group in one task); "distributed" = operators.median.distributed_median (hot groups
-    # split over buckets at every stage). An accuracy instead opts into percentile_approx.
-    median_strategy: str = "map"
+    # group in one task); "distributed" = operators.median.distributed_median (every group
+    # split over value buckets at every stage); "auto" = "distributed" once the fact holds
+    # more than ``median_distributed_min_rows`` rows (counted from Parquet footers when the
+    # star is written), else "map". An accuracy instead opts into percentile_approx.
+    median_strategy: str = "auto"
+    median_distributed_min_rows: int = 20_000_000
     median_buckets: int = 256
     approx_median_accuracy: int | None = None
     # Largest row count a lookup / dimension may have to be broadcast.

@@ -7,9 +7,9 @@ operator keeps every stage split:
 
 1. counts per (group, value) - shuffled on (group, value), so a hot group spreads over all
    partitions, and combined map-side;
-2. per group, ``B - 1`` approximate quantile cut points (a bounded sketch per task) split
-   the group's values into ``B`` buckets; the cut points only choose the split, the result
-   stays exact;
+2. per group, ``B - 1`` approximate quantile cut points over its distinct values (a
+   bounded sketch per task, built from the count table) split the group's values into ``B``
+   buckets; the cut points only choose the split, the result stays exact;
 3. exact row counts per (group, bucket) - at most ``B`` rows per group - and their running
    totals locate the bucket(s) holding the middle rank(s);
 4. only those buckets' (value, count) rows are ordered, partitioned by (group, bucket), to
@@ -37,10 +37,12 @@ def distributed_median(df: DataFrame, keys: Sequence[str], value: str, alias: st
     rows = df.where(v.isNotNull())
     counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
 
+    # Cut points over the distinct values of each group (the count table, not the rows):
+    # buckets then hold similar numbers of (value, count) rows, which is what bounds step 4.
     fracs = [i / buckets for i in range(1, buckets)]
-    cuts = rows.groupBy(*keys).agg(
+    cuts = counts.groupBy(*keys).agg(
         F.percentile_approx(v, fracs, SKETCH_ACCURACY).alias("__cuts"),
-        F.count(F.lit(1)).alias("__n"))
+        F.sum("__c").alias("__n"))
 
     bucketed = join_on_keys(counts, cuts, keys, "inner").select(
         *keys, value, "__c", "__n",

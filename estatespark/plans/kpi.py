@@ -64,7 +64,7 @@ def borough_price_trends(star: Star) -> DataFrame:
     keys = [*BOROUGH_KEYS, "year", "quarter", "year_quarter", "quarter_start_date"]
     stats = agg_with_medians(rows, keys, price_stats(
         which=("transactions", "avg_price", "min_price", "max_price", "price_stddev",
-               "price_volatility_ratio")), [("sale_price", "median_price", 0)], star.cfg)
+               "price_volatility_ratio")), [("sale_price", "median_price", 0)], star.agg_cfg())
     return stats.select(*keys, "transactions", "avg_price", "median_price", "min_price",
                         "max_price", "price_stddev", "price_volatility_ratio")
 
@@ -73,7 +73,7 @@ def yearly_borough_prices(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price"], BOROUGH_KEYS, ["year"])
     return agg_with_medians(rows, [*BOROUGH_KEYS, "year"],
                             price_stats(which=("transactions", "avg_price")),
-                            [("sale_price", "median_price", 0)], star.cfg)
+                            [("sale_price", "median_price", 0)], star.agg_cfg())
 
 
 def yoy_growth(star: Star, lag_keys: Sequence[str] = ("borough",),
@@ -151,7 +151,7 @@ def property_type_roi(star: Star) -> DataFrame:
         exact_avg(F.when(last, p)).alias("_avg_last"),
         F.nullif(F.count_if(first), F.lit(0)).alias("transactions_first_year"),
         F.nullif(F.count_if(last), F.lit(0)).alias("transactions_last_year"),
-    ], [("sale_price", "median_price_overall", 0)], cfg)
+    ], [("sale_price", "median_price_overall", 0)], star.agg_cfg())
     return agg.where(F.col("total_transactions") >= F.lit(cfg.min_type_sales)).select(
         "borough", "property_type_name", "property_category", "total_transactions",
         "avg_price_overall", "median_price_overall",
@@ -170,7 +170,7 @@ def postcode_stats(star: Star) -> DataFrame:
     stats = agg_with_medians(rows, ["borough", "postcode_district"], [
         F.count(F.lit(1)).alias("postcode_transactions"),
         F.round(exact_avg("sale_price"), 0).alias("postcode_avg_price"),
-    ], [("sale_price", "postcode_median_price", 0)], cfg)
+    ], [("sale_price", "postcode_median_price", 0)], star.agg_cfg())
     return stats.where(F.col("postcode_transactions") >= F.lit(cfg.min_postcode_sales)).select(
         "borough", "postcode_district", "postcode_transactions", "postcode_median_price",
         "postcode_avg_price")
@@ -200,7 +200,7 @@ def _segment_premium(star: Star, seg_col: str, seg_filter, categories, names) ->
     cfg = star.cfg
     rows = star_rows(star, ["sale_price", seg_col], ["borough"]).where(seg_filter)
     per_seg = agg_with_medians(rows, ["borough", seg_col], [F.count(F.lit(1)).alias("transactions")],
-                               [("sale_price", "median_price", 0)], cfg)
+                               [("sale_price", "median_price", 0)], star.agg_cfg())
     return conditional_pivot(per_seg, ["borough"], seg_col, categories,
                              [("transactions", "_txns"), ("median_price", "_median")])
 
@@ -243,7 +243,7 @@ def yearly_market(star: Star) -> DataFrame:
         F.count_if(F.col("is_central_london")).alias("central_london_transactions"),
         F.count_distinct("borough").alias("active_boroughs"),
         F.count_distinct("postcode_district").alias("active_postcodes"),
-    ], [("sale_price", "median_price", 0)], cfg)
+    ], [("sale_price", "median_price", 0)], star.agg_cfg())
     return stats.select("year", "total_transactions", "avg_price", "median_price",
                         "total_volume_gbp", "million_plus_transactions", "super_prime_transactions",
                         "central_london_transactions", "active_boroughs", "active_postcodes")

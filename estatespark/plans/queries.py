@@ -175,7 +175,7 @@ def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = K.star_rows(st, ["sale_price"], ["london_region"], ["year"], ["property_type_name"])
     return agg_with_medians(rows, ["london_region", "property_type_name"], price_stats(
         which=("transactions", "avg_price", "min_price", "max_price")),
-        [("sale_price", "median_price", 0)], CFG)
+        [("sale_price", "median_price", 0)], st.agg_cfg())
 
 
 @register("q_having_min_count")
@@ -190,7 +190,7 @@ def q_pivot_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = K.star_rows(st, ["sale_price", "tenure_label"], ["borough"]).where(
         F.col("tenure_label").isin("Freehold", "Leasehold"))
     per = agg_with_medians(rows, ["borough", "tenure_label"], [F.count(F.lit(1)).alias("transactions")],
-                           [("sale_price", "median_price", 0)], CFG)
+                           [("sale_price", "median_price", 0)], st.agg_cfg())
     return conditional_pivot(per, ["borough"], "tenure_label",
                              [("Freehold", "freehold"), ("Leasehold", "leasehold")],
                              [("transactions", "_txns"), ("median_price", "_median")])

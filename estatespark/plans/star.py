@@ -145,6 +145,15 @@ class Star:
     date_rows: int | None = None
     location_rows: int | None = None
     property_rows: int | None = None
+    fact_rows: int | None = None
+
+    def agg_cfg(self) -> Config:
+        """Parameters with the median strategy resolved for this fact's size."""
+        c = self.cfg
+        if c.median_strategy != "auto":
+            return c
+        big = self.fact_rows is not None and self.fact_rows > c.median_distributed_min_rows
+        return c.with_(median_strategy="distributed" if big else "map")
 
     # Dimension sides of the star joins: broadcast behind the recorded size check.
     def locations(self, matched_only: bool = True) -> DataFrame:
@@ -204,4 +213,6 @@ def materialize_star(spark: SparkSession, star: Star, root: str) -> Star:
         date_rows=star.date_rows,
         location_rows=d_loc.limit(cap + 1).count(),
         property_rows=d_prop.limit(cap + 1).count(),
+        # answered from Parquet footers (row-group metadata), not by reading the rows
+        fact_rows=fact.count(),
     )

@@ -55,3 +55,14 @@ def test_kpis_equal_under_both_median_strategies(spark):
         a = sorted(map(tuple, fn(base).collect()), key=repr)
         b = sorted(map(tuple, fn(dist).collect()), key=repr)
         assert a == b, fn.__name__
+
+
+def test_auto_strategy_follows_fact_size(spark):
+    from estatespark.config import FIXTURE
+    from estatespark.plans.star import Star
+    small = Star(None, None, None, None, FIXTURE, fact_rows=10)
+    big = Star(None, None, None, None, FIXTURE, fact_rows=FIXTURE.median_distributed_min_rows + 1)
+    assert small.agg_cfg().median_strategy == "map"
+    assert big.agg_cfg().median_strategy == "distributed"
+    fixed = Star(None, None, None, None, FIXTURE.with_(median_strategy="map"), fact_rows=10**12)
+    assert fixed.agg_cfg().median_strategy == "map"
