@@ -66,3 +66,17 @@ def test_auto_strategy_follows_fact_size(spark):
     assert big.agg_cfg().median_strategy == "distributed"
     fixed = Star(None, None, None, None, FIXTURE.with_(median_strategy="map"), fact_rows=10**12)
     assert fixed.agg_cfg().median_strategy == "map"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60),
+       st.integers(2, 9))
+def test_distributed_median_property(spark, rows, buckets):
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    got = {r.g: r.median for r in distributed_median(df, ["g"], "v", buckets=buckets).collect()}
+    assert got == brute(rows)
