@@ -154,7 +154,7 @@ class Config:
     median_buckets: int = 256
     approx_median_accuracy: int | None = None
     # Largest row count a lookup / dimension may have to be broadcast.
-    broadcast_max_rows: int = 1_000_000
+    broadcast_max_rows: int = 200_000
     # Yearly raw file names carry the year: pp-2021.csv, or pp=2021 when written by Spark.
     year_in_path_pattern: str = r"pp[-=](\d{4})"
 
