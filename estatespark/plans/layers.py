@@ -59,7 +59,7 @@ def priced(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame
 
 def flagged(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
     return FX.remember(spark, sf_dir, ("flagged_df", cfg),
-                       lambda: M.flagged(priced(spark, sf_dir, cfg), cfg))
+                       lambda: M.flagged(priced(spark, sf_dir, cfg), cfg, stg(spark, sf_dir)))
 
 
 def lazy_star(spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> Star:

@@ -105,10 +105,12 @@ def priced(enr: DataFrame) -> DataFrame:
     )
 
 
-def flagged(pr: DataFrame, cfg: Config) -> DataFrame:
+def flagged(pr: DataFrame, cfg: Config, years_from: DataFrame | None = None) -> DataFrame:
     """Boolean flags, never NULL. The most recent year is an uncorrelated scalar subquery
-    (one aggregate over the pruned ``sale_year`` column, evaluated once)."""
-    latest = pr.agg(F.max("sale_year")).scalar()
+    (one aggregate over the pruned ``sale_year`` column, evaluated once). ``years_from`` may
+    name an upstream relation with the same rows and years (the staged sales: the lookup
+    join keeps every row), which spares the subquery the lookup join."""
+    latest = (years_from if years_from is not None else pr).agg(F.max("sale_year")).scalar()
     return pr.select(
         "*",
         flag_in("borough", cfg.central_boroughs).alias("is_central_london"),
