@@ -273,6 +273,10 @@ def more_bodies(o: dict[str, str]) -> dict[str, str]:
                     f"{r} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
                     f"(SELECT 1 FROM {pr} pa WHERE pa.{pc} = ch.{col})")
         for r, col, pr, pc in QS.RELATIONSHIP_TESTS)
+    b["q_dq_orphans"] = """
+        SELECT f.transaction_key, f.date_key, f.sale_year FROM fact f
+        WHERE f.date_key IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.date_key)"""
     b["q_dq_row_counts"] = "\nUNION ALL\n".join(
         f"SELECT '{layer}' AS layer, source_year, count(*) AS rows FROM {layer} GROUP BY source_year"
         for layer in QS.ROW_COUNT_LAYERS)

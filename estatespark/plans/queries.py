@@ -284,6 +284,16 @@ def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QS.relationships_summary(rels, st)
 
 
+@register("q_dq_orphans")
+def q_dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing rows of the date relationship: fact rows whose day has no calendar row."""
+    from ..operators.quality import relationship_failures
+    st = P.star(spark, sf_dir, CFG)
+    return relationship_failures(st.fact.select("transaction_key", "date_key", "sale_year"),
+                                 "date_key", st.dim_date, "date_key",
+                                 CFG.broadcast_max_rows, st.date_rows)
+
+
 @register("q_dq_row_counts")
 def q_dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rels, _ = QS.relations(spark, sf_dir, CFG)
