@@ -105,7 +105,8 @@ def ctes(cfg: Config = FIXTURE) -> dict[str, tuple[list[str], str]]:
         FROM (SELECT n_nationkey, n_name, j,
                      split_part('{areas_csv}', ',', CAST(1 + (n_nationkey + j) % {n_areas} AS INTEGER))
                        || CAST(n_nationkey * {per} + j + 1 AS VARCHAR) AS dist
-              FROM (SELECT n_nationkey, n_name, unnest(range(0, {per})) AS j FROM nation) nj) s
+              FROM (SELECT DISTINCT c.c_nationkey AS n_nationkey, n.n_name, c.c_custkey % {per} AS j
+                    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) nj) s
         WHERE (n_nationkey * {per} + j + 1) % {FX.UNMATCHED_DISTRICT_EVERY} <> 0""")
 
     out["stg"] = (["raw"], f"""

@@ -6,8 +6,8 @@ order key inject the defects the pipeline must handle (zero prices, unparseable
 dates, padded lower-case and missing postcodes, unknown codes). With ``k = c_nationkey``,
 ``j = c_custkey % 6`` and ``num = k*6 + j + 1`` (1..150), the postcode district is
 ``area || num`` where the area cycles through the eight London areas by ``(k + j) % 8``.
-The borough seed has one row per ``num`` (except multiples of 29, which stay unmatched),
-borough = nation name, so every borough spans several areas and regions.
+The borough seed has one row per ``num`` that has customers (except multiples of 29, which
+stay unmatched), borough = nation name, so every borough spans several areas and regions.
 
 At scale, orders ⋈ customer is the one shuffle join (sort-merge, AQE splits a hot customer);
 nation and region have a fixed size (25 and 5 rows) and are broadcast.
@@ -139,11 +139,16 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def borough_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed ``postcode_district, borough`` derived from nation: six districts per nation,
-    some padded / lower-cased (the staging model normalises them)."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    per = nation.select("n_nationkey", "n_name",
-                        F.explode(F.sequence(F.lit(0), F.lit(DISTRICTS_PER_NATION - 1))).alias("j"))
+    """Seed ``postcode_district, borough``: one row per district that has customers (the
+    distinct ``(c_nationkey, c_custkey % 6)`` pairs, at most 25 x 6), borough = nation name;
+    some rows padded / lower-cased (the staging model normalises them). The distinct runs
+    over all customers, partial-aggregated map-side."""
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("n_key"),
+        (F.col("c_custkey") % F.lit(DISTRICTS_PER_NATION)).alias("j")).distinct()
+    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+                               REFERENCE_TABLE_MAX_ROWS)
+    per = cust.join(nation, F.col("n_key") == F.col("n_nationkey"))
     k = F.col("n_nationkey")
     j = F.col("j")
     num = k * F.lit(DISTRICTS_PER_NATION) + j + F.lit(1)
