@@ -47,19 +47,32 @@ def shared_dir(spark: SparkSession) -> str:
     """
     with _LOCK:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = spark.sparkContext.getCheckpointDir()
+        sc = _context(spark)
+        if not root and sc is not None:
+            root = sc.getCheckpointDir()
         if not root:
             root = tempfile.mkdtemp(prefix="estatespark-")
-            spark.sparkContext.setCheckpointDir(root)
-            root = spark.sparkContext.getCheckpointDir() or root
+            if sc is not None:
+                sc.setCheckpointDir(root)
+                root = sc.getCheckpointDir() or root
         return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder."""
     return "/".join([shared_dir(spark), "estatespark", *parts, uuid.uuid4().hex])
 
 
 def app_id(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
