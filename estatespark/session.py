@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCK = threading.Lock()
+_FALLBACK: dict[int, str] = {}  # temp root per session when no checkpoint dir is configured
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "estatespark",
@@ -50,11 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
         sc = _context(spark)
         if not root and sc is not None:
             root = sc.getCheckpointDir()
+        if not root:
+            root = _FALLBACK.get(id(spark))
         if not root:
             root = tempfile.mkdtemp(prefix="estatespark-")
             if sc is not None:
                 sc.setCheckpointDir(root)
                 root = sc.getCheckpointDir() or root
+            _FALLBACK[id(spark)] = root
         return root.rstrip("/")
 
 
