@@ -111,3 +111,14 @@ def test_market_health_distinct_counts_and_lag(spark):
     assert mh[2022].million_plus_transactions == 2 and mh[2022].super_prime_transactions == 1
     assert mh[2022].central_london_transactions == 1
     assert mh[2023].prev_year_transactions == 2 and mh[2023].volume_yoy_change_pct == -50.0
+
+
+def test_off_calendar_sales_listed_by_relationship_check(spark):
+    from estatespark.operators.quality import relationship_failures
+    rows = [dict(sale_date="2020-12-31 00:00"), dict(sale_date="2021-01-01 00:00"),
+            dict(sale_date="2025-01-01 00:00"), dict(sale_date="bad")]
+    st = star_of(spark, rows)
+    orphans = relationship_failures(st.fact, "date_key", st.dim_date, "date_key",
+                                    LONDON.broadcast_max_rows, st.date_rows)
+    got = sorted(str(r.date_key) for r in orphans.collect())
+    assert got == ["2020-12-31", "2025-01-01"]  # the undated sale has a NULL key: not an orphan
