@@ -63,3 +63,17 @@ def test_streaming_ingest_matches_batch(spark):
     # a rerun finds no new file and appends nothing
     ingest_available(spark, f"{base}/raw", f"{base}/silver", f"{base}/ckpt", LONDON)
     assert spark.read.parquet(f"{base}/silver").count() == 2
+
+
+def test_export_headers_and_lake_totals(spark):
+    df = spark.createDataFrame([(2021, 3, 1.5), (2022, 4, None)], "year int, n bigint, pct double")
+    out = tempfile.mkdtemp(prefix="export-") + "/x"
+    SF.export_csv(df, out)
+    header = [l for l in open(next(os.path.join(out, f) for f in sorted(os.listdir(out))
+                                    if f.endswith(".csv") and os.path.getsize(os.path.join(out, f))))][0]
+    assert header.strip() == "YEAR,N,PCT"
+    back = SF.read_export(spark, out, df)
+    assert sorted(map(tuple, back.collect())) == [(2021, 3, 1.5), (2022, 4, None)]
+    tot = SF.lake_total_mb(spark, out).first()
+    files = [f for f in os.listdir(out) if not f.startswith((".", "_"))]
+    assert tot.files >= len(files) and tot.total_mb >= 0
