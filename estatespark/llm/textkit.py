@@ -18,6 +18,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+SIGNS = np.arange(256) < 128
+SIGNS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 _U = np.uint64
 
 
@@ -57,27 +59,47 @@ def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         i = min(j, n)
 
 
-def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, and the offsets of each row's words."""
-    if len(raw) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
-    inner = ~_SPACE[raw]
+def _words(raw: np.ndarray, off: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash addends of the bytes inside words, their positions there, the words' first
+    addends, their sizes, and the offsets of each row's words."""
+    inner = ~apart[raw]
     first = inner.copy()
     first[1:] &= ~inner[:-1]
     heads = off[:-1][off[:-1] < len(raw)]
     first[heads] = inner[heads]
     starts = np.flatnonzero(first)
     words = np.searchsorted(starts, off)
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64), words
     at = np.flatnonzero(inner)
     head = np.searchsorted(at, starts)
     size = np.diff(np.append(head, len(at)))
     pos = np.arange(len(at)) - np.repeat(head, size)
-    keys = stream(1, int(size.max()))
-    with np.errstate(over="ignore"):
-        val = (_LOWER[raw[at]].astype(np.uint64) + _U(1)) * keys[pos]
-        return mix(np.add.reduceat(val, head) + size.astype(np.uint64)), words
+    keys = stream(1, int(size.max()) if len(size) else 0)
+    val = (_LOWER[raw[at]].astype(np.uint64) + _U(1)) * keys[pos]
+    return val, pos, head, size, words
+
+
+def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word, and the offsets of each row's words."""
+    val, _, head, size, words = _words(raw, off, _SPACE)
+    if len(head) == 0:
+        return np.zeros(0, np.uint64), words
+    return mix(np.add.reduceat(val, head) + size.astype(np.uint64)), words
+
+
+def stem_hashes(raw: np.ndarray, off: np.ndarray, stems: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the words between ASCII signs, and of their heads of so many bytes.
+
+    First come the words; then, for each length, the heads of all words (shorter words
+    whole). Offsets are those of the rows' words.
+    """
+    val, pos, head, size, words = _words(raw, off, SIGNS)
+    if len(head) == 0:
+        return [np.zeros(0, np.uint64)] * (1 + len(stems)), words
+    out = [mix(np.add.reduceat(val, head) + size.astype(np.uint64))]
+    for n in stems:
+        part = np.add.reduceat(np.where(pos < n, val, _U(0)), head)
+        out.append(mix(part + _U(n << 32)))
+    return out, words
 
 
 def shingle_hashes(h: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
