@@ -29,7 +29,7 @@ SLICE = 2 << 20
 
 @dataclass(frozen=True)
 class Params:
-    rate: float = 0.08  # edits allowed, as a share of the item's length
+    rate: float = 0.06  # edits allowed, as a share of the item's length
     least: int = 24  # bytes; shorter items match without edits only
     block: int = 4_000_000  # bytes of items in a block
 

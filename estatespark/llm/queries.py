@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, neardup
+from . import decontam, fingerprints, mixing, neardup, tokenstore, toxicity
 from .common import ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,12 +24,35 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Params(shingle=2))
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to range-coded files and read back."""
+    return tokenstore.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that occur in documents, up to the error budget."""
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _fold(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four of five folds of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_frame(docs, table(spark, sf_dir, "labels"), F.coalesce(_fold(5) != 0, F.lit(False)))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-_QUERIES: tuple[QueryFn, ...] = (op1_fingerprints, op3_near_duplicates, op10_mix)
+_QUERIES: tuple[QueryFn, ...] = (op1_fingerprints, op3_near_duplicates, op4_token_store, op5_decontamination, op9_toxicity,
+                               op10_mix)
 
 
 def _shipped(query: QueryFn) -> QueryFn:
