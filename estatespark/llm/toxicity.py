@@ -38,8 +38,8 @@ _TERM = re.compile(r"\b(" + "|".join(sorted(_SWAP, key=lambda t: (-len(t), t)))
 
 @dataclass(frozen=True)
 class Params:
-    sample: int = 12_000  # labelled rows fitted on, at most: those with the least hash
-    sample_chars: int = 60_000_000  # and at most so many code points of them together
+    sample: int = 8_000  # labelled rows fitted on, at most: those with the least hash
+    sample_chars: int = 40_000_000  # and at most so many code points of them together
     features: int = 1 << 20  # of a hash; a power of two
     stems: tuple[int, ...] = (4, 5, 6, 7, 8)  # bytes
     least_z: float = 4.5  # a feature's share of the toxic rows must differ so many deviations from its share of the others
