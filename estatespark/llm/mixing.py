@@ -133,3 +133,45 @@ def mixed_rows(docs: DataFrame, p: Params = Params()) -> DataFrame:
     whole = sizes(docs, p, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     often = _applied(whole, plan, p).filter("copies > 0")
     return often.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+
+
+def oracle_sql(p: Params = Params()) -> str:
+    """The mix of documents in DuckDB's SQL: the same buckets, by running sums instead of levels."""
+    digits = p.levels * p.digits
+    weight = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(p.weights))
+    return f"""
+WITH rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+         substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, {digits}) AS key
+  FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
+named AS (
+  SELECT source, source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(p.weights)} {weight} END AS weight
+  FROM totals),
+levels AS (
+  SELECT *, ({p.share} * (sum(source_size) OVER ()) - {p.most} * coalesce(sum(source_size) OVER (
+              ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM named),
+goals AS (
+  SELECT source, source_size, (CASE WHEN level * weight >= {p.most} * source_size THEN {p.most} * source_size
+         ELSE max(level) FILTER (level * weight < {p.most} * source_size) OVER () * weight END)::DOUBLE AS target
+  FROM levels),
+need AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS times FROM goals),
+buckets AS (
+  SELECT source, key, sum(size) AS words,
+         sum(sum(size)) OVER (PARTITION BY source ORDER BY key) AS upto
+  FROM rows GROUP BY source, key),
+chosen AS (
+  SELECT b.source, b.key,
+         upto <= budget OR (upto - words < budget AND upto - budget < budget - (upto - words)) AS once
+  FROM buckets b JOIN (SELECT *, greatest(target - times * source_size, 0) AS budget FROM need) n
+    ON b.source IS NOT DISTINCT FROM n.source)
+SELECT r.doc_id, r.source, r.size, n.source_size, n.target,
+       CASE WHEN size > 0 THEN least(times + once::INT, {p.most}) ELSE 0 END::INT AS copies,
+       CASE WHEN size > 0 THEN least(times + once::INT, {p.most}) ELSE 0 END * size AS taken
+FROM rows r JOIN need n ON r.source IS NOT DISTINCT FROM n.source
+JOIN chosen c ON r.source IS NOT DISTINCT FROM c.source AND r.key = c.key"""

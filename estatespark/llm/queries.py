@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprints, mixing, neardup, tokenstore, toxicity
+from . import (decontam, fingerprints, langid, licenses, mixing, neardup, quotes, tokenstore, toxicity,
+               warc)
 from .common import ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences that documents are, and those that their lines announce."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 % of their two-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Params(shingle=2))
@@ -34,6 +40,24 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, linked to what it answers, in reply order."""
+    return quotes.in_reply_order(quotes.linked(table(spark, sf_dir, "conversations")))
+
+
+def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    found = langid.predict(docs, langid.learn(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back."""
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def _fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
@@ -51,8 +75,9 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-_QUERIES: tuple[QueryFn, ...] = (op1_fingerprints, op3_near_duplicates, op4_token_store, op5_decontamination, op9_toxicity,
-                               op10_mix)
+_QUERIES: tuple[QueryFn, ...] = (
+    op1_fingerprints, op2_licenses, op3_near_duplicates, op4_token_store, op5_decontamination, op6_quotations,
+    op7_languages, op8_warc, op9_toxicity, op10_mix)
 
 
 def _shipped(query: QueryFn) -> QueryFn:
@@ -68,4 +93,5 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB's SQL for those that it can express; the others are held against brute force."""
+    return {"op2_licenses": licenses.oracle_sql(), "op10_mix": mixing.oracle_sql()}
