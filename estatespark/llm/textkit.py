@@ -116,7 +116,7 @@ def shingle_hashes(h: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarray
     keys = stream(2, k + 1)
     with np.errstate(over="ignore"):
         total = h * keys[0]
-        for j in range(1, k):
+        for j in range(1, min(k, n)):
             part = h[j:] * keys[j]
             part[at[j:] >= end[:n - j]] = 0
             total[:n - j] += part
