@@ -17,7 +17,7 @@ from .known_licenses import KNOWN, NOTICES
 LINES = (
     (r"(?m)^[ \t*#/;-]*(copyright[ \t]*(\(c\)|©|[0-9]|<|\[|by )|\(c\)|©)[^\n]*$", ""),
     (r"(?m)^[ \t*#/;-]*all rights reserved[.]?[ \t]*$", ""),
-    (r"(?m)^[ \t#/;]*([0-9]+[.)]|[(]?[a-z][.)]|[*•-])[ \t]+", ""),
+    (r"(?m)^[ \t*#/;•-]*(([0-9]+[.)]|[(]?[a-z][.)])[ \t]+)?", ""),
 )
 SIGNS = r"[^a-z0-9]+"
 SPELLINGS = (
