@@ -66,13 +66,12 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"),
                        F.coalesce(F.split(text, "\n"), F.array().cast("array<string>")).alias("lines"))
     listed = known(docs)
-    index = listed.agg(F.map_from_entries(F.collect_list(F.struct("known_digest", "license_id"))).alias("index"))
+    index = F.create_map(*[F.lit(x) for r in listed.collect() for x in (r.known_digest, r.license_id)])
     told = F.transform(F.filter("lines", lambda x: F.contains(F.lower(x), F.lit("licen"))),
-                       lambda x: F.try_element_at(F.col("index"), digest(x)))
+                       lambda x: F.try_element_at(index, digest(x)))
     notices = F.array_sort(F.array_distinct(F.filter(told, lambda x: x.isNotNull())))
-    # both small sides have a row for each known wording at most, whatever the data
+    # the small side has a row for each known wording at most, whatever the data
     return (rows.join(F.broadcast(listed), F.col("digest") == F.col("known_digest"), "left")
-            .join(F.broadcast(index))
             .select("doc_id", "digest", "license_id", F.array_join(notices, ",").alias("notices")))
 
 
