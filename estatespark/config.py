@@ -144,15 +144,12 @@ class Config:
     million_plus: int = MILLION_PLUS
     super_prime: int = SUPER_PRIME
     top_liquidity_k: int = 5
-    # Exact medians: "map" = built-in percentile (map-side value->count maps, final merge per
-    # group in one task); "distributed" = operators.median.distributed_median (every group
-    # split over value buckets at every stage); "auto" = "distributed" once the fact holds
-    # more than ``median_distributed_min_rows`` rows (counted from Parquet footers when the
-    # star is written), else "map". An accuracy instead opts into percentile_approx.
-    median_strategy: str = "auto"
-    median_distributed_min_rows: int = 20_000_000
-    median_buckets: int = 256
-    approx_median_accuracy: int | None = None
+    price_bands: tuple[tuple[int, str], ...] = PRICE_BANDS
+    top_price_band: str = TOP_PRICE_BAND
+    market_segments: tuple[tuple[int, str], ...] = MARKET_SEGMENTS
+    top_market_segment: str = TOP_MARKET_SEGMENT
+    value_positions: tuple[tuple[float, str], ...] = VALUE_POSITIONS
+    top_value_position: str = TOP_VALUE_POSITION
     # Largest row count a lookup / dimension may have to be broadcast.
     broadcast_max_rows: int = 200_000
     # Yearly raw file names carry the year: pp-2021.csv, or pp=2021 when written by Spark.

@@ -67,11 +67,6 @@ def pct_change(new: str | Column, old: str | Column, digits: int) -> Column:
     return F.round((new_d - old_d) * F.lit(100.0) / F.nullif(old_d, F.lit(0.0)), digits)
 
 
-def safe_ratio(num: str | Column, den: str | Column) -> Column:
-    """num / NULLIF(den, 0) in DOUBLE."""
-    return col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
-
-
 def surrogate_key(*cols: str | Column) -> Column:
     """MD5 over the '-'-joined text of the parts, NULL parts replaced by a placeholder."""
     parts = [F.coalesce(col(c).cast("string"), F.lit(SURROGATE_KEY_NULL)) for c in cols]

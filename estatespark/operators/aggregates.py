@@ -7,53 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_avg, median
+from .median import N, weighted_mean, weighted_stddev
 
 
-def price_stats(price: str = "sale_price", digits: int = 0, approx: int | None = None,
-                which: Sequence[str] = ("transactions", "avg_price", "median_price")) -> list[Column]:
-    """Common measures over a price column: count, rounded mean / median, min, max,
-    sample stddev, coefficient of variation. Every one is partial-aggregated map-side."""
-    p = F.col(price)
+def price_stats(price: str = "sale_price", digits: int = 0,
+                which: Sequence[str] = ("transactions", "avg_price")) -> list[Column]:
+    """Common measures over a table of price counts (``operators.median``): count, rounded mean,
+    min, max, sample stddev, coefficient of variation. Every one is partial-aggregated map-side."""
+    p, n = F.col(price), F.col(N)
     exprs = {
-        "transactions": F.count(F.lit(1)).alias("transactions"),
-        "avg_price": F.round(exact_avg(p), digits).alias("avg_price"),
-        "median_price": F.round(median(p, approx), digits).alias("median_price"),
+        "transactions": F.sum(n).alias("transactions"),
+        "avg_price": F.round(weighted_mean(price), digits).alias("avg_price"),
         "min_price": F.min(p).alias("min_price"),
         "max_price": F.max(p).alias("max_price"),
-        "price_stddev": F.round(F.stddev_samp(p), digits).alias("price_stddev"),
+        "price_stddev": F.round(weighted_stddev(price), digits).alias("price_stddev"),
         "price_volatility_ratio":
-            F.round(F.stddev_samp(p) / exact_avg(p), 3).alias("price_volatility_ratio"),
-        "total_volume": F.sum(p).alias("total_volume"),
+            F.round(weighted_stddev(price) / weighted_mean(price), 3).alias("price_volatility_ratio"),
+        "total_volume": F.sum(p * n).alias("total_volume"),
     }
     return [exprs[w] for w in which]
 
 
-def agg_with_medians(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                     medians: Sequence[tuple[str, str, int]], cfg) -> DataFrame:
-    """Group ``rows`` by ``keys`` computing ``aggs`` plus exact medians.
-
-    ``medians`` = [(value column, alias, rounding digits)]. Output columns: keys, aggs,
-    medians. With ``cfg.median_strategy == "distributed"`` each median is computed by
-    ``distributed_median`` (no group funnelled through one task) and joined back on the keys
-    (both sides one row per group); otherwise the built-in exact median runs inside the same
-    aggregation.
-    """
-    keys = list(keys)
-    if cfg.median_strategy == "distributed" and not cfg.approx_median_accuracy:
-        from .median import distributed_median, join_on_keys
-        base = (rows.groupBy(*keys).agg(*aggs) if aggs
-                else rows.select(*keys).distinct())
-        out_cols = list(base.columns)
-        for value, alias, digits in medians:
-            m = distributed_median(rows, keys, value, "__m", cfg.median_buckets)
-            base = join_on_keys(base, m.select(*keys, F.round("__m", digits).alias(alias)), keys)
-            out_cols.append(alias)
-        return base.select(*out_cols)
-    med_cols = [F.round(median(v, cfg.approx_median_accuracy), d).alias(a) for v, a, d in medians]
-    return rows.groupBy(*keys).agg(*aggs, *med_cols)
-
-
 def conditional_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str,
                       categories: Sequence[tuple[object, str]],
                       measures: Sequence[tuple[str, str]]) -> DataFrame:

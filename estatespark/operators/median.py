@@ -1,81 +1,110 @@
-"""Exact median per group without funnelling a hot group through one task.
-
-``F.median`` (exact ``percentile``) pre-aggregates map-side into value->count maps, but the
-final merge of each group runs in one task with state proportional to the group's distinct
-values. When one group may hold a third of all rows and its value domain is wide, this
-operator keeps every stage split:
-
-1. counts per (group, value) - shuffled on (group, value), so a hot group spreads over all
-   partitions, and combined map-side;
-2. per group, ``B - 1`` approximate quantile cut points over its distinct values (a
-   bounded sketch per task, built from the count table) split the group's values into ``B``
-   buckets; the cut points only choose the split, the result stays exact;
-3. exact row counts per (group, bucket) - at most ``B`` rows per group - and their running
-   totals locate the bucket(s) holding the middle rank(s);
-4. only those buckets' (value, count) rows are ordered, partitioned by (group, bucket), to
-   read the value at the middle rank.
-
-The answer equals ``percentile(value, 0.5)``: the middle value, or the mean of the two
-middle values for an even count. NULL values are ignored; a group of NULLs has no row.
+"""Exact medians and price statistics from one table of (keys, value) counts.
+
+``value_counts_table`` scans the rows once and writes, for every (keys, value), the number of rows and
+of those for which each flag holds. A hot group spreads over its values there, and counts combine
+map-side. All measures of a group come from that table: sums, means, deviations, conditional counts
+and the exact median. For the median no group meets in one task either:
+
+1. counts per (group, bucket), the bucket being a fixed logarithmic class of the value (64 to a
+   factor of e), so a group has at most some thousands of them;
+2. their running totals locate the bucket(s) that hold the middle rank(s);
+3. only those buckets' (value, count) rows are ordered, partitioned by (group, bucket).
+
+The answer equals ``percentile(value, 0.5)``: the middle value, or the mean of the two middle
+values for an even count. NULL values are ignored; a group of NULLs has a NULL median.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
-SKETCH_ACCURACY = 10_000
+from ..session import written
 
+N = "__n"
+CLASSES = 64
 
-def distributed_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median",
-                       buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    keys = list(keys)
-    v = F.col(value)
-    rows = df.where(v.isNotNull())
-    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-
-    # Cut points over the distinct values of each group (the count table, not the rows):
-    # buckets then hold similar numbers of (value, count) rows, which is what bounds step 4.
-    fracs = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx(v, fracs, SKETCH_ACCURACY).alias("__cuts"),
-        F.sum("__c").alias("__n"))
-
-    bucketed = join_on_keys(counts, cuts, keys, "inner").select(
-        *keys, value, "__c", "__n",
-        F.size(F.filter("__cuts", lambda b: b < v)).alias("__k"))
-
-    per_bucket = bucketed.groupBy(*keys, "__k").agg(
-        F.sum("__c").alias("__bc"), F.max("__n").alias("__n"))
+
+def value_counts_table(rows: DataFrame, keys: Sequence[str], value: str,
+                       flags: Mapping[str, Column] | None = None) -> DataFrame:
+    """keys, value, ``__n`` and a count for each flag: one row per (keys, value), written."""
+    counts = [F.count_if(c).alias(name) for name, c in (flags or {}).items()]
+    return written(rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(N), *counts), "value_counts")
+
+
+def recount(cells: DataFrame, keys: Sequence[str], value: str, flags: Sequence[str] = ()) -> DataFrame:
+    """A count table of fewer keys from a finer one."""
+    return cells.groupBy(*keys, value).agg(*[F.sum(c).alias(c) for c in (N, *flags)])
+
+
+def weighted_mean(value: str, weight: str = N) -> Column:
+    """Mean of the value over the rows a weight counts; integral values are summed exactly."""
+    known = F.when(F.col(value).isNotNull(), F.col(weight))
+    total = F.sum(F.col(value) * F.col(weight))
+    return total.cast("double") / F.nullif(F.sum(known), F.lit(0)).cast("double")
+
+
+def weighted_stddev(value: str, weight: str = N) -> Column:
+    """Sample standard deviation, from exact sums of the values and of their squares."""
+    v = F.col(value).cast("decimal(19,0)")
+    w = F.when(F.col(value).isNotNull(), F.col(weight))
+    n = F.sum(w).cast("double")
+    s1 = F.sum(F.col(value) * F.col(weight)).cast("double")
+    s2 = F.sum((v * v).cast("decimal(30,0)") * F.col(weight).cast("decimal(8,0)")).cast("double")
+    spread = F.greatest((s2 - s1 * s1 / F.nullif(n, F.lit(0.0))), F.lit(0.0))
+    return F.sqrt(F.when(n > F.lit(1.0), spread / F.nullif(n - F.lit(1.0), F.lit(0.0))))
+
+
+def bucket_of(v: Column) -> Column:
+    """An order-preserving class of a number: 64 classes to a factor of e, on either side of 0."""
+    x = v.cast("double")
+    return (F.signum(x) * F.floor(F.ln(F.abs(x) + F.lit(1.0)) * F.lit(float(CLASSES)))).cast("int")
+
+
+def median_of_counts(cells: DataFrame, keys: Sequence[str], value: str, alias: str = "median") -> DataFrame:
+    """keys and the exact median of ``value`` weighted by ``__n``, for groups with a value."""
+    keys, v = list(keys), F.col(value)
+    known = cells.where(v.isNotNull()).select(*keys, value, N, bucket_of(v).alias("__k"))
+    per_bucket = known.groupBy(*keys, "__k").agg(F.sum(N).alias("__bc"))
+    group = Window.partitionBy(*keys)
     before = F.coalesce(F.sum("__bc").over(
-        Window.partitionBy(*keys).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))
-    n = F.col("__n")
+        group.orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = per_bucket.select(*keys, "__k", "__bc", F.sum("__bc").over(group).alias("__total"),
+                               before.alias("__before"))
+    n = F.col("__total")
     ranks = F.array(
         F.struct(F.lit(0).alias("which"), F.floor((n + F.lit(1)) / F.lit(2)).alias("rank")),
         F.struct(F.lit(1).alias("which"), (F.floor(n / F.lit(2)) + F.lit(1)).alias("rank")))
-    # running totals first, then one row per middle rank (a window and a generator in one
-    # select would run the generator first and total the duplicated rows)
-    totals = per_bucket.select(*keys, "__k", "__bc", "__n", before.alias("__before"))
     targets = (totals.select(*keys, "__k", "__bc", "__before", F.explode(ranks).alias("__t"))
                .where((F.col("__t.rank") > F.col("__before"))
                       & (F.col("__t.rank") <= F.col("__before") + F.col("__bc")))
                .select(*keys, "__k", F.col("__t.which").alias("__which"),
                        (F.col("__t.rank") - F.col("__before")).alias("__r")))
-
-    in_bucket = join_on_keys(bucketed.select(*keys, "__k", value, "__c"), targets,
-                             keys + ["__k"], "inner")
+    middle = join_on_keys(known, targets, keys + ["__k"], "inner")
     w = Window.partitionBy(*keys, "__k", "__which").orderBy(value)
-    running = F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = (in_bucket.select("*", running.alias("__cum"))
-           .where((F.col("__cum") >= F.col("__r")) & (F.col("__cum") - F.col("__c") < F.col("__r"))))
+    running = F.sum(N).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hit = (middle.select("*", running.alias("__cum"))
+           .where((F.col("__cum") >= F.col("__r")) & (F.col("__cum") - F.col(N) < F.col("__r"))))
     return hit.groupBy(*keys).agg(
         (F.sum(v.cast("double")) / F.count(F.lit(1)).cast("double")).alias(alias))
 
 
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median") -> DataFrame:
+    """Exact median per group of plain rows; groups without a value have no row."""
+    return median_of_counts(value_counts_table(df, keys, value), keys, value, alias)
+
+
+def stats_with_median(cells: DataFrame, keys: Sequence[str], value: str, aggs: Sequence[Column],
+                      alias: str, digits: int = 0) -> DataFrame:
+    """keys, ``aggs`` (over the count table) and the rounded median, one row per group."""
+    keys = list(keys)
+    medians = median_of_counts(cells, keys, value, "__m")
+    base = cells.groupBy(*keys).agg(*aggs)
+    return join_on_keys(base, medians.select(*keys, F.round("__m", digits).alias(alias)), keys)
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join two per-group tables on possibly-NULL keys (NULL matches NULL)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],

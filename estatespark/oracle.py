@@ -85,7 +85,8 @@ def ctes(cfg: Config = FIXTURE) -> dict[str, tuple[list[str], str]]:
                     WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS new_build,
                CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'F'
                     WHEN left(o_orderpriority, 1) IN ('3', '4') THEN 'L' ELSE 'U' END AS tenure,
-               CAST(o_custkey AS VARCHAR) AS paon, CAST(NULL AS VARCHAR) AS saon, c_name AS street,
+               CAST(o_custkey AS VARCHAR) AS paon, CAST(NULL AS VARCHAR) AS saon, CASE WHEN okey % {FX.QUOTED_EVERY} = 0
+                    THEN 'FLAT "A", ' || c_name || chr(92) ELSE c_name END AS street,
                CAST(NULL AS VARCHAR) AS locality, ' ' || lower(n_name) || ' ' AS town,
                lower(r_name) AS district, {_q(FX.FIXTURE_COUNTY)} AS county,
                CASE WHEN okey % {FX.ADDITIONAL_PPD_EVERY} = 0 THEN 'B' ELSE 'A' END AS ppd_type,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import config as C
 from .config import FIXTURE
+from .sources.files import RAW_COLUMNS
 from .oracle import _bands, _in, _pct, _q, _skey, date_dim_sql, with_ctes
 
 CFG = FIXTURE
@@ -290,6 +291,19 @@ def more_bodies(o: dict[str, str]) -> dict[str, str]:
     b["q_ingest_csv"] = "SELECT * FROM raw_csv"
     b["q_ingest_filter"] = filt
     b["q_ingest_stream"] = filt
+    fields = [c for c in RAW_COLUMNS]
+    size = " + ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)), 0)" for c in fields)
+    quoted = " + ".join(f"CASE WHEN contains({c}, chr(34)) OR contains({c}, ',') "
+                        f"THEN 2 + len({c}) - len(replace({c}, chr(34), '')) ELSE 0 END"
+                        for c in fields if c != "price")
+    # fifteen commas and a line end a row, and the quotes that RFC 4180 adds
+    per_year = f"SELECT source_year, CAST(sum({size} + {quoted} + 16) AS BIGINT) AS size_bytes FROM raw_csv GROUP BY 1"
+    b["q_lake_inventory"] = f"""
+        SELECT source_year, is_total, size_bytes, round(size_bytes / 1048576.0::DOUBLE, 3) AS size_mb FROM (
+          SELECT source_year, false AS is_total, size_bytes FROM ({per_year}) y
+          UNION ALL SELECT NULL, true, CAST(sum(size_bytes) AS BIGINT) FROM ({per_year}) y) t"""
+    b["q_malformed_rows"] = '''
+        SELECT source_year, count(*) AS rows, count(price) AS priced, CAST(0 AS BIGINT) AS malformed FROM raw_csv GROUP BY source_year'''
     b["q_union_years"] = f"SELECT source_year, count(*) AS rows FROM ({filt}) f GROUP BY source_year"
     b["q_value_counts"] = f"""
         SELECT 'property_type' AS column_name, CAST(property_type AS VARCHAR) AS value, count(*) AS n

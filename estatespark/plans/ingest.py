@@ -39,11 +39,12 @@ def rows_per_year(df: DataFrame) -> DataFrame:
 
 
 def frequency_tables(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value counts of several columns in one long table (column_name, value, n)."""
-    return union_all([
-        value_counts(df, c).select(F.lit(c).alias("column_name"),
-                                   F.col(c).cast("string").alias("value"), "n")
-        for c in columns])
+    """Value counts of several columns in one long table (column_name, value, n), in one scan,
+    by column and descending count."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                      for c in columns])
+    return (df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy("column_name", F.col("n").desc(), "value"))
 
 
 def top_areas(df: DataFrame, k: int = 10) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import bucketize, code_map, exact_avg, pct_change
-from ..operators.aggregates import agg_with_medians, conditional_pivot, price_stats
+from ..functions import bucketize, code_map, pct_change
+from ..operators.aggregates import conditional_pivot, price_stats
+from ..operators.median import N, join_on_keys, recount, stats_with_median, value_counts_table, weighted_mean
 from ..operators.windows import change_columns, rank_within, tile_within, with_previous
 from .star import Star
 
@@ -62,22 +63,30 @@ def borough_price_trends(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price"], BOROUGH_KEYS,
                      ["year", "quarter", "year_quarter", "quarter_start_date"])
     keys = [*BOROUGH_KEYS, "year", "quarter", "year_quarter", "quarter_start_date"]
-    stats = agg_with_medians(rows, keys, price_stats(
-        which=("transactions", "avg_price", "min_price", "max_price", "price_stddev",
-               "price_volatility_ratio")), [("sale_price", "median_price", 0)], star.agg_cfg())
+    stats = stats_with_median(
+        value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+        price_stats(which=("transactions", "avg_price", "min_price", "max_price", "price_stddev",
+                           "price_volatility_ratio")), "median_price")
     return stats.select(*keys, "transactions", "avg_price", "median_price", "min_price",
                         "max_price", "price_stddev", "price_volatility_ratio")
 
 
 def yearly_borough_prices(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price"], BOROUGH_KEYS, ["year"])
-    return agg_with_medians(rows, [*BOROUGH_KEYS, "year"],
-                            price_stats(which=("transactions", "avg_price")),
-                            [("sale_price", "median_price", 0)], star.agg_cfg())
+    keys = [*BOROUGH_KEYS, "year"]
+    return stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+                             price_stats(which=("transactions", "avg_price")), "median_price")
 
 
 def yoy_growth(star: Star, lag_keys: Sequence[str] = ("borough",),
                tie_break: Sequence[str] = ("london_region",)) -> DataFrame:
+    """``yoy_table`` in the published order."""
+    return yoy_table(yearly_borough_prices(star), lag_keys, tie_break).orderBy(
+        F.col("year").desc(), F.col("yoy_median_change_pct").desc_nulls_last(), "borough", "london_region")
+
+
+def yoy_table(yearly: DataFrame, lag_keys: Sequence[str] = ("borough",),
+              tie_break: Sequence[str] = ("london_region",)) -> DataFrame:
     """Year-on-year change per borough.
 
     ``lag_keys=("borough",)`` reproduces the published view, whose series mixes the region
@@ -85,12 +94,11 @@ def yoy_growth(star: Star, lag_keys: Sequence[str] = ("borough",),
     tie-break makes that order deterministic. ``("borough", "london_region")`` is the
     corrected per-region series. Percentages use the rounded averages / medians.
     """
-    yearly = yearly_borough_prices(star)
     order = ["year", *[t for t in tie_break if t not in lag_keys]]
     lagged = with_previous(yearly, list(lag_keys), order, [
         ("avg_price", "prev_avg_price"), ("median_price", "prev_median_price"),
         ("transactions", "prev_transactions")])
-    out = lagged.select(
+    return lagged.select(
         *BOROUGH_KEYS, "year", "transactions", "avg_price", "median_price", "prev_avg_price",
         "prev_median_price",
         *change_columns([
@@ -100,8 +108,6 @@ def yoy_growth(star: Star, lag_keys: Sequence[str] = ("borough",),
             ("median_price", "prev_median_price", "yoy_median_change_pct", 2),
             ("transactions", "prev_transactions", "yoy_volume_change_pct", 2),
         ]))
-    return out.orderBy(F.col("year").desc(), F.col("yoy_median_change_pct").desc_nulls_last(),
-                       "borough", "london_region")
 
 
 def borough_activity(star: Star) -> DataFrame:
@@ -110,8 +116,13 @@ def borough_activity(star: Star) -> DataFrame:
 
 
 def transaction_velocity(star: Star) -> DataFrame:
+    """``velocity_table`` in the published order."""
+    return velocity_table(borough_activity(star)).orderBy(
+        F.col("year").desc(), "volume_rank", "borough", "london_region")
+
+
+def velocity_table(act: DataFrame) -> DataFrame:
     """Yearly volume rank (ties share a rank) and liquidity quartile per borough row."""
-    act = borough_activity(star)
     by_volume = [F.col("transactions").desc()]
     ranked = act.select(
         "*",
@@ -124,10 +135,15 @@ def transaction_velocity(star: Star) -> DataFrame:
     return ranked.select(
         *BOROUGH_KEYS, "year", "transactions", "avg_monthly_transactions", "volume_rank",
         code_map("liquidity_quartile", C.LIQUIDITY_TIERS).alias("liquidity_tier"),
-    ).orderBy(F.col("year").desc(), "volume_rank", "borough", "london_region")
+    )
 
 
 def property_type_roi(star: Star) -> DataFrame:
+    """``roi_table`` in the published order."""
+    return roi_table(star).orderBy("borough", F.col("four_year_growth_pct").desc_nulls_last(), "property_type_name")
+
+
+def roi_table(star: Star) -> DataFrame:
     """Per (borough, property type) with enough sales: overall statistics plus first- and
     last-year averages and growth, in ONE pass over the fact.
 
@@ -141,17 +157,18 @@ def property_type_roi(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price", "sale_year", "date_key"], ["borough"],
                      prop_cols=["property_type_name", "property_category"])
     in_cal = (F.col("date_key") >= lo) & (F.col("date_key") < hi)
-    first = in_cal & (F.col("sale_year") == F.lit(cfg.first_year))
-    last = in_cal & (F.col("sale_year") == F.lit(cfg.last_year))
-    p = F.col("sale_price")
-    agg = agg_with_medians(rows, ["borough", "property_type_name", "property_category"], [
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.round(exact_avg(p), 0).alias("avg_price_overall"),
-        exact_avg(F.when(first, p)).alias("_avg_first"),
-        exact_avg(F.when(last, p)).alias("_avg_last"),
-        F.nullif(F.count_if(first), F.lit(0)).alias("transactions_first_year"),
-        F.nullif(F.count_if(last), F.lit(0)).alias("transactions_last_year"),
-    ], [("sale_price", "median_price_overall", 0)], star.agg_cfg())
+    keys = ["borough", "property_type_name", "property_category"]
+    cells = value_counts_table(rows, keys, "sale_price", {
+        "_first": in_cal & (F.col("sale_year") == F.lit(cfg.first_year)),
+        "_last": in_cal & (F.col("sale_year") == F.lit(cfg.last_year))})
+    agg = stats_with_median(cells, keys, "sale_price", [
+        F.sum(N).alias("total_transactions"),
+        F.round(weighted_mean("sale_price"), 0).alias("avg_price_overall"),
+        weighted_mean("sale_price", "_first").alias("_avg_first"),
+        weighted_mean("sale_price", "_last").alias("_avg_last"),
+        F.nullif(F.sum("_first"), F.lit(0)).alias("transactions_first_year"),
+        F.nullif(F.sum("_last"), F.lit(0)).alias("transactions_last_year"),
+    ], "median_price_overall")
     return agg.where(F.col("total_transactions") >= F.lit(cfg.min_type_sales)).select(
         "borough", "property_type_name", "property_category", "total_transactions",
         "avg_price_overall", "median_price_overall",
@@ -159,7 +176,7 @@ def property_type_roi(star: Star) -> DataFrame:
         F.round("_avg_last", 0).alias("avg_price_last_year"),
         pct_change("_avg_last", "_avg_first", 2).alias("four_year_growth_pct"),
         "transactions_first_year", "transactions_last_year",
-    ).orderBy("borough", F.col("four_year_growth_pct").desc_nulls_last(), "property_type_name")
+    )
 
 
 def postcode_stats(star: Star) -> DataFrame:
@@ -167,16 +184,22 @@ def postcode_stats(star: Star) -> DataFrame:
     cfg = star.cfg
     rows = star_rows(star, ["sale_price"], ["borough", "postcode_district"], ["year"],
                      years=(cfg.recent_since_year, None))
-    stats = agg_with_medians(rows, ["borough", "postcode_district"], [
-        F.count(F.lit(1)).alias("postcode_transactions"),
-        F.round(exact_avg("sale_price"), 0).alias("postcode_avg_price"),
-    ], [("sale_price", "postcode_median_price", 0)], star.agg_cfg())
+    keys = ["borough", "postcode_district"]
+    stats = stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price", [
+        F.sum(N).alias("postcode_transactions"),
+        F.round(weighted_mean("sale_price"), 0).alias("postcode_avg_price"),
+    ], "postcode_median_price")
     return stats.where(F.col("postcode_transactions") >= F.lit(cfg.min_postcode_sales)).select(
         "borough", "postcode_district", "postcode_transactions", "postcode_median_price",
         "postcode_avg_price")
 
 
 def undervalued_postcodes(star: Star) -> DataFrame:
+    """``undervalued_table`` in the published order."""
+    return undervalued_table(star).orderBy("borough", F.col("price_gap_pct").asc_nulls_last(), "postcode_district")
+
+
+def undervalued_table(star: Star) -> DataFrame:
     """Each qualifying district against the median of its borough's district medians.
 
     The borough roll-up is a window over the (small) per-district table, so detail and
@@ -191,16 +214,16 @@ def undervalued_postcodes(star: Star) -> DataFrame:
         "borough_median_price",
         (p - b).alias("price_gap_gbp"),
         pct_change(p, b, 1).alias("price_gap_pct"),
-        bucketize(p, [(b * F.lit(r), label) for r, label in C.VALUE_POSITIONS],
-                  C.TOP_VALUE_POSITION).alias("value_position"),
-    ).orderBy("borough", F.col("price_gap_pct").asc_nulls_last(), "postcode_district")
+        bucketize(p, [(b * F.lit(r), label) for r, label in star.cfg.value_positions],
+                  star.cfg.top_value_position).alias("value_position"),
+    )
 
 
-def _segment_premium(star: Star, seg_col: str, seg_filter, categories, names) -> DataFrame:
-    cfg = star.cfg
+def _segment_premium(star: Star, seg_col: str, seg_filter, categories) -> DataFrame:
     rows = star_rows(star, ["sale_price", seg_col], ["borough"]).where(seg_filter)
-    per_seg = agg_with_medians(rows, ["borough", seg_col], [F.count(F.lit(1)).alias("transactions")],
-                               [("sale_price", "median_price", 0)], star.agg_cfg())
+    keys = ["borough", seg_col]
+    per_seg = stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+                                [F.sum(N).alias("transactions")], "median_price")
     return conditional_pivot(per_seg, ["borough"], seg_col, categories,
                              [("transactions", "_txns"), ("median_price", "_median")])
 
@@ -208,7 +231,7 @@ def _segment_premium(star: Star, seg_col: str, seg_filter, categories, names) ->
 def new_build_premium(star: Star) -> DataFrame:
     cfg = star.cfg
     piv = _segment_premium(star, "is_new_build", F.col("is_new_build").isNotNull(),
-                           [(True, "new_build"), (False, "existing")], None)
+                           [(True, "new_build"), (False, "existing")])
     nb, ex = F.col("new_build_median"), F.col("existing_median")
     return piv.where((F.col("new_build_txns") >= F.lit(cfg.min_segment_sales))
                      & (F.col("existing_txns") >= F.lit(cfg.min_segment_sales))).select(
@@ -220,7 +243,7 @@ def new_build_premium(star: Star) -> DataFrame:
 def tenure_premium(star: Star) -> DataFrame:
     cfg = star.cfg
     piv = _segment_premium(star, "tenure_label", F.col("tenure_label").isin("Freehold", "Leasehold"),
-                           [("Freehold", "freehold"), ("Leasehold", "leasehold")], None)
+                           [("Freehold", "freehold"), ("Leasehold", "leasehold")])
     fh, lh = F.col("freehold_median"), F.col("leasehold_median")
     return piv.where((F.col("freehold_txns") >= F.lit(cfg.min_segment_sales))
                      & (F.col("leasehold_txns") >= F.lit(cfg.min_segment_sales))).select(
@@ -230,33 +253,44 @@ def tenure_premium(star: Star) -> DataFrame:
 
 
 def yearly_market(star: Star) -> DataFrame:
-    cfg = star.cfg
-    rows = star_rows(star, ["sale_price", "is_million_plus", "is_super_prime",
-                            "is_central_london"], ["borough", "postcode_district"], ["year"])
-    p = F.col("sale_price")
-    stats = agg_with_medians(rows, ["year"], [
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.round(exact_avg(p), 0).alias("avg_price"),
-        F.sum(p).alias("total_volume_gbp"),
-        F.count_if(F.col("is_million_plus")).alias("million_plus_transactions"),
-        F.count_if(F.col("is_super_prime")).alias("super_prime_transactions"),
-        F.count_if(F.col("is_central_london")).alias("central_london_transactions"),
-        F.count_distinct("borough").alias("active_boroughs"),
-        F.count_distinct("postcode_district").alias("active_postcodes"),
-    ], [("sale_price", "median_price", 0)], star.agg_cfg())
-    return stats.select("year", "total_transactions", "avg_price", "median_price",
-                        "total_volume_gbp", "million_plus_transactions", "super_prime_transactions",
-                        "central_london_transactions", "active_boroughs", "active_postcodes")
+    """Yearly totals, medians and distinct boroughs and districts from one count table.
+
+    The table has a row per (year, borough, district, price); the distinct counts run on its
+    (year, borough, district) rows, a few for each, so no fact row is expanded."""
+    flags = ("is_million_plus", "is_super_prime", "is_central_london")
+    rows = star_rows(star, ["sale_price", *flags], ["borough", "postcode_district"], ["year"])
+    places = ["year", "borough", "postcode_district"]
+    fine = value_counts_table(rows, places, "sale_price", {f"_{c}": F.col(c) for c in flags})
+    cells = recount(fine, ["year"], "sale_price", [f"_{c}" for c in flags])
+    stats = stats_with_median(cells, ["year"], "sale_price", [
+        F.sum(N).alias("total_transactions"),
+        F.round(weighted_mean("sale_price"), 0).alias("avg_price"),
+        F.sum(F.col("sale_price") * F.col(N)).alias("total_volume_gbp"),
+        F.sum("_is_million_plus").alias("million_plus_transactions"),
+        F.sum("_is_super_prime").alias("super_prime_transactions"),
+        F.sum("_is_central_london").alias("central_london_transactions"),
+    ], "median_price")
+    active = (fine.groupBy(*places).agg(F.count(F.lit(1)).alias("prices")).groupBy("year")
+              .agg(F.size(F.collect_set("borough")).cast("bigint").alias("active_boroughs"),
+                   F.size(F.collect_set("postcode_district")).cast("bigint").alias("active_postcodes")))
+    return join_on_keys(stats, active, ["year"]).select(
+        "year", "total_transactions", "avg_price", "median_price", "total_volume_gbp",
+        "million_plus_transactions", "super_prime_transactions", "central_london_transactions",
+        "active_boroughs", "active_postcodes")
 
 
 def market_health(star: Star) -> DataFrame:
+    """``market_table`` in the order of the years."""
+    return market_table(yearly_market(star)).orderBy("year")
+
+
+def market_table(yearly: DataFrame) -> DataFrame:
     """One row per calendar year with headline indicators and change on the prior year.
     The unpartitioned LAG runs on the per-year rows only."""
-    yearly = yearly_market(star)
     lagged = with_previous(yearly, [], ["year"], [
         ("total_transactions", "prev_year_transactions"), ("median_price", "prev_year_median")])
     return lagged.select(
         "*",
         pct_change("total_transactions", "prev_year_transactions", 2).alias("volume_yoy_change_pct"),
         pct_change("median_price", "prev_year_median", 2).alias("median_price_yoy_change_pct"),
-    ).orderBy("year")
+    )

@@ -39,12 +39,22 @@ FLAG_COLUMNS = [
 ]
 
 
+def is_staged() -> F.Column:
+    """Which raw rows staging keeps."""
+    return F.coalesce((F.col("price") > 0) & F.col("postcode").isNotNull() & F.col("sale_date").isNotNull(),
+                      F.lit(False))
+
+
 def stg_transactions(raw: DataFrame) -> DataFrame:
     """Drop zero prices and missing postcodes / date text, decode codes, derive date parts
     and postcode parts. The raw date text is tested for NULL, so unparseable dates survive
     as a NULL ``sale_date`` (caught by the not-null check, dropped by the date join)."""
-    kept = raw.where((F.col("price") > 0) & F.col("postcode").isNotNull()
-                     & F.col("sale_date").isNotNull())
+    return staged_columns(raw.where((F.col("price") > 0) & F.col("postcode").isNotNull()
+                                    & F.col("sale_date").isNotNull()))
+
+
+def staged_columns(kept: DataFrame, *extra: F.Column) -> DataFrame:
+    """The staging columns of raw rows, and any extra ones."""
     sale_date = try_date("sale_date")
     postcode = upper_trim("postcode")
     typed = kept.select(
@@ -65,6 +75,7 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
         code_map("ppd_type", C.PPD_TYPES, C.UNKNOWN_LABEL).alias("ppd_type"),
         "source_year",
         "loaded_at",
+        *extra,
     )
     return typed.select(
         "*",
@@ -97,11 +108,11 @@ def enriched(stg: DataFrame, boroughs: DataFrame, cfg: Config,
           for c in ENRICHED_COLUMNS])
 
 
-def priced(enr: DataFrame) -> DataFrame:
+def priced(enr: DataFrame, cfg: Config) -> DataFrame:
     return enr.select(
         "*",
-        bucketize("price", C.PRICE_BANDS, C.TOP_PRICE_BAND).alias("price_band"),
-        bucketize("price", C.MARKET_SEGMENTS, C.TOP_MARKET_SEGMENT).alias("market_segment"),
+        bucketize("price", cfg.price_bands, cfg.top_price_band).alias("price_band"),
+        bucketize("price", cfg.market_segments, cfg.top_market_segment).alias("market_segment"),
     )
 
 
@@ -125,4 +136,4 @@ def flagged(pr: DataFrame, cfg: Config, years_from: DataFrame | None = None) ->
 
 def flagged_from_raw(raw: DataFrame, seed: DataFrame, cfg: Config,
                      seed_rows: int | None = None) -> DataFrame:
-    return flagged(priced(enriched(stg_transactions(raw), stg_boroughs(seed), cfg, seed_rows)), cfg)
+    return flagged(priced(enriched(stg_transactions(raw), stg_boroughs(seed), cfg, seed_rows), cfg), cfg)

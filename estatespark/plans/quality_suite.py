@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..operators.joins import lookup_join
 from ..operators.quality import (accepted_values_count, not_null_counts, relationship_counts,
                                  union_all, unique_count)
+from . import models as M
 
 # The declared tests (relation, column) per check, in declaration order.
 UNIQUE_TESTS = (
@@ -76,16 +78,73 @@ def relations(spark, sf_dir: str, cfg):
                        dim_property=st.dim_property, fact=st.fact), st
 
 
-def unique_summary(rels) -> DataFrame:
-    return union_all([unique_count(rels[r], r, c) for r, c in UNIQUE_TESTS])
-
-
-def not_null_summary(rels) -> DataFrame:
-    return union_all([not_null_counts(rels[r], r, cols) for r, cols in NOT_NULL_TESTS])
-
-
-def accepted_values_summary(rels) -> DataFrame:
-    return union_all([accepted_values_count(rels[r], r, c, v) for r, c, v in ACCEPTED_VALUES_TESTS])
+# Layers that are the raw rows with columns added (and rows dropped by staging): one pass
+# over raw serves them all.
+RAW_LAYERS = ("raw", "stg", "enriched", "priced", "flagged")
+
+
+def layer_rows(rels, cfg) -> DataFrame:
+    """Every raw row with the columns of all its layers, and how often each layer has it.
+
+    ``__raw`` holds the raw columns; ``__w_<layer>`` is the row's weight: 0 or 1 in stg, and
+    in the layers behind the lookup as many rows as the lookup finds (at least one).
+    """
+    raw = rels["raw"]
+    once = rels["boroughs"].groupBy("postcode_district").agg(
+        F.min("borough").alias("borough"), F.count(F.lit(1)).alias("__matches"))
+    wide = M.staged_columns(raw, F.struct(*raw.columns).alias("__raw"), M.is_staged().alias("__staged"))
+    joined = lookup_join(wide, once, "postcode_district", cfg.broadcast_max_rows).withColumn(
+        "borough", F.coalesce("borough", F.lit(C.UNMATCHED_BOROUGH)))
+    staged = F.col("__staged").cast("bigint")
+    behind = staged * F.coalesce("__matches", F.lit(1).cast("bigint"))
+    weights = {"raw": F.lit(1).cast("bigint"), "stg": staged, "enriched": behind, "priced": behind, "flagged": behind}
+    return M.flagged(M.priced(joined, cfg), cfg, rels["stg"]).withColumns(
+        {f"__w_{layer}": w for layer, w in weights.items()})
+
+
+def _of(layer: str, column: str) -> F.Column:
+    return F.col("__raw")[column] if layer == "raw" else F.col(column)
+
+
+def unique_summary(rels, wide) -> DataFrame:
+    """The raw rows' layers share one shuffle of the ids."""
+    ids = [layer for layer in RAW_LAYERS if (layer, "transaction_id") in UNIQUE_TESTS]
+    per_id = (wide.where(F.col("transaction_id").isNotNull()).groupBy("transaction_id")
+              .agg(*[F.sum(f"__w_{layer}").alias(layer) for layer in ids]))
+    counts = per_id.agg(*[F.count_if(F.col(layer) > 1).alias(layer) for layer in ids])
+    stacked = counts.unpivot([], ids, "relation", "failures").select(
+        F.lit("unique").alias("check_name"), "relation", F.lit("transaction_id").alias("column_name"),
+        F.col("failures").cast("bigint").alias("failures"))
+    return union_all([stacked] + [unique_count(rels[r], r, c) for r, c in UNIQUE_TESTS
+                                  if not (r in ids and c == "transaction_id")])
+
+
+def not_null_summary(rels, wide) -> DataFrame:
+    """One pass for the raw rows' layers, one for each other relation."""
+    tests = [(r, c) for r, cols in NOT_NULL_TESTS if r in RAW_LAYERS for c in cols]
+    counts = wide.agg(*[F.coalesce(F.sum(F.when(_of(r, c).isNull(), F.col(f"__w_{r}"))), F.lit(0)).alias(f"{r}.{c}")
+                        for r, c in tests])
+    stacked = counts.select(F.inline(F.array(*[
+        F.struct(F.lit("not_null").alias("check_name"), F.lit(r).alias("relation"), F.lit(c).alias("column_name"),
+                 F.col(f"`{r}.{c}`").cast("bigint").alias("failures")) for r, c in tests])))
+    return union_all([stacked] + [not_null_counts(rels[r], r, cols) for r, cols in NOT_NULL_TESTS
+                                  if r not in RAW_LAYERS])
+
+
+def accepted_values_summary(rels, wide) -> DataFrame:
+    """Distinct unexpected values; only those leave the one pass over the raw rows' layers."""
+    tests = [(r, c, v) for r, c, v in ACCEPTED_VALUES_TESTS if r in RAW_LAYERS]
+    found = F.array(*[F.when((F.col(f"__w_{r}") > 0) & _of(r, c).isNotNull() & ~_of(r, c).isin(list(v)),
+                             F.struct(F.lit(i).alias("test"), _of(r, c).cast("string").alias("value")))
+                      for i, (r, c, v) in enumerate(tests)])
+    bad = (wide.select(F.inline(F.filter(found, lambda x: x.isNotNull()))).distinct()
+           .agg(*[F.count_if(F.col("test") == i).alias(f"t{i}") for i in range(len(tests))]))
+    stacked = bad.select(F.inline(F.array(*[
+        F.struct(F.lit("accepted_values").alias("check_name"), F.lit(r).alias("relation"),
+                 F.lit(c).alias("column_name"), F.col(f"t{i}").cast("bigint").alias("failures"))
+        for i, (r, c, _) in enumerate(tests)])))
+    return union_all([stacked] + [accepted_values_count(rels[r], r, c, v) for r, c, v in ACCEPTED_VALUES_TESTS
+                                  if r not in RAW_LAYERS])
 
 
 def relationships_summary(rels, star) -> DataFrame:
@@ -98,12 +157,13 @@ def relationships_summary(rels, star) -> DataFrame:
     return union_all([relationship_counts(rels[r], r, tests, cap) for r, tests in by_child.items()])
 
 
-def row_counts(rels) -> DataFrame:
-    """Rows per layer and source year: the reconciliation between layers."""
-    return union_all([
-        rels[layer].groupBy("source_year").agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(layer).alias("layer"), "source_year", "rows")
-        for layer in ROW_COUNT_LAYERS])
+def row_counts(rels, wide) -> DataFrame:
+    """Rows per layer and source year: the reconciliation between layers, raw read once."""
+    per = wide.groupBy("source_year").agg(*[F.sum(f"__w_{layer}").alias(layer) for layer in RAW_LAYERS])
+    stacked = per.unpivot(["source_year"], list(RAW_LAYERS), "layer", "rows").where("rows > 0")
+    fact = rels["fact"].groupBy("source_year").agg(F.count(F.lit(1)).alias("rows"))
+    return union_all([stacked.select("layer", "source_year", "rows"),
+                      fact.select(F.lit("fact").alias("layer"), "source_year", "rows")])
 
 
 def coverage(enriched: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import FIXTURE
 from ..functions import pct_change, surrogate_key, try_date
-from ..operators.aggregates import agg_with_medians, conditional_pivot, price_stats
+from ..operators.aggregates import conditional_pivot, price_stats
+from ..operators.median import N, stats_with_median, value_counts_table
 from ..operators.spine import date_spine
 from ..operators.windows import rank_within, tile_within, with_previous
 from ..session import scratch_path
@@ -173,9 +174,9 @@ def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, mean, exact median, min, max per (region, property type)."""
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price"], ["london_region"], ["year"], ["property_type_name"])
-    return agg_with_medians(rows, ["london_region", "property_type_name"], price_stats(
-        which=("transactions", "avg_price", "min_price", "max_price")),
-        [("sale_price", "median_price", 0)], st.agg_cfg())
+    keys = ["london_region", "property_type_name"]
+    return stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price", price_stats(
+        which=("transactions", "avg_price", "min_price", "max_price")), "median_price")
 
 
 @register("q_having_min_count")
@@ -189,8 +190,9 @@ def q_pivot_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price", "tenure_label"], ["borough"]).where(
         F.col("tenure_label").isin("Freehold", "Leasehold"))
-    per = agg_with_medians(rows, ["borough", "tenure_label"], [F.count(F.lit(1)).alias("transactions")],
-                           [("sale_price", "median_price", 0)], st.agg_cfg())
+    keys = ["borough", "tenure_label"]
+    per = stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+                            [F.sum(N).alias("transactions")], "median_price")
     return conditional_pivot(per, ["borough"], "tenure_label",
                              [("Freehold", "freehold"), ("Leasehold", "leasehold")],
                              [("transactions", "_txns"), ("median_price", "_median")])
@@ -263,19 +265,19 @@ def q_market_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("q_dq_unique")
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     rels, _ = QS.relations(spark, sf_dir, CFG)
-    return QS.unique_summary(rels)
+    return QS.unique_summary(rels, QS.layer_rows(rels, CFG))
 
 
 @register("q_dq_not_null")
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     rels, _ = QS.relations(spark, sf_dir, CFG)
-    return QS.not_null_summary(rels)
+    return QS.not_null_summary(rels, QS.layer_rows(rels, CFG))
 
 
 @register("q_dq_accepted_values")
 def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rels, _ = QS.relations(spark, sf_dir, CFG)
-    return QS.accepted_values_summary(rels)
+    return QS.accepted_values_summary(rels, QS.layer_rows(rels, CFG))
 
 
 @register("q_dq_relationships")
@@ -297,7 +299,7 @@ def q_dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("q_dq_row_counts")
 def q_dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rels, _ = QS.relations(spark, sf_dir, CFG)
-    return QS.row_counts(rels)
+    return QS.row_counts(rels, QS.layer_rows(rels, CFG))
 
 
 @register("q_dq_coverage")
@@ -335,10 +337,11 @@ def q_ingest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("q_union_years")
 def q_union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two separately read batches of yearly files (1990s, 2000s) unioned, rows per year."""
-    root = landed_csv(spark, sf_dir)
-    both = I.read_years(spark, [f"{root}/pp=199*", f"{root}/pp=200*"], CFG)
-    return I.rows_per_year(I.filter_areas(both, CFG))
+    """Separately read batches of yearly files (even years, odd years, no year) unioned."""
+    rows = ingested(spark, sf_dir)
+    odd = F.col("source_year") % F.lit(2) == F.lit(1)
+    batches = [rows.where(~odd), rows.where(odd), rows.where(F.col("source_year").isNull())]
+    return I.rows_per_year(I.filter_areas(I.union_years(batches), CFG))
 
 
 @register("q_value_counts")
@@ -376,8 +379,14 @@ def q_silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("q_lake_inventory")
 def q_lake_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of the landed raw folder with their size (listing only, no file body read)."""
-    return SF.lake_inventory(spark, landed_csv(spark, sf_dir))
+    """Bytes of the landed raw files per year and in all (listing only, no file body read)."""
+    return SF.lake_totals(spark, landed_csv(spark, sf_dir), CFG.year_in_path_pattern)
+
+
+@register("q_malformed_rows")
+def q_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines per year, and those that do not fit the schema."""
+    return SF.malformed_rows(spark, f"{landed_csv(spark, sf_dir)}/pp=*", CFG.year_in_path_pattern)
 
 
 @register("q_export_csv")
@@ -416,26 +425,26 @@ def q_value_position_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("q_borough_growth_ranking")
 def q_borough_growth_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.borough_growth_ranking(K.yoy_growth(P.star(spark, sf_dir, CFG)))
+    return R.borough_growth_ranking(K.yoy_table(K.yearly_borough_prices(P.star(spark, sf_dir, CFG))))
 
 
 @register("q_top_liquidity")
 def q_top_liquidity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.top_liquidity(K.transaction_velocity(P.star(spark, sf_dir, CFG)), CFG.top_liquidity_k)
+    return R.top_liquidity(K.borough_activity(P.star(spark, sf_dir, CFG)), CFG.top_liquidity_k)
 
 
 @register("q_investment_matrix")
 def q_investment_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = P.star(spark, sf_dir, CFG)
-    return R.investment_matrix(K.yoy_growth(st), K.transaction_velocity(st))
+    yearly = K.yearly_borough_prices(P.star(spark, sf_dir, CFG))  # holds the transactions too
+    return R.investment_matrix(K.yoy_table(yearly), yearly)
 
 
 @register("q_type_consistency")
 def q_type_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.type_consistency(K.property_type_roi(P.star(spark, sf_dir, CFG)))
+    return R.type_consistency(K.roi_table(P.star(spark, sf_dir, CFG)))
 
 
 @register("q_growth_spread")
 def q_growth_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = P.star(spark, sf_dir, CFG)
-    return R.growth_spread(K.yoy_growth(st), K.market_health(st))
+    return R.growth_spread(K.yoy_table(K.yearly_borough_prices(st)), K.market_table(K.yearly_market(st)))

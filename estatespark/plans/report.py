@@ -31,7 +31,7 @@ def latest_rows(df: DataFrame, year_col: str = "year") -> DataFrame:
 
 def value_position_counts(star: Star) -> DataFrame:
     """How many qualifying districts fall in each value position."""
-    return K.undervalued_postcodes(star).groupBy("value_position").agg(
+    return K.undervalued_table(star).groupBy("value_position").agg(
         F.count(F.lit(1)).alias("postcodes"))
 
 

@@ -106,7 +106,7 @@ def dim_property(flagged: DataFrame) -> DataFrame:
     )
 
 
-def fact_transactions(flagged: DataFrame) -> DataFrame:
+def fact_transactions(flagged: DataFrame, cfg: Config) -> DataFrame:
     price = F.col("price")
     return flagged.select(
         F.col("transaction_id").alias("transaction_key"),
@@ -114,7 +114,7 @@ def fact_transactions(flagged: DataFrame) -> DataFrame:
         surrogate_key("postcode_district", "borough").alias("location_key"),
         surrogate_key("property_type_code").alias("property_key"),
         price.alias("sale_price"),
-        F.when(price >= F.lit(C.MILLION_PLUS), price).otherwise(F.lit(0).cast("bigint"))
+        F.when(price >= F.lit(cfg.million_plus), price).otherwise(F.lit(0).cast("bigint"))
         .alias("sale_price_million_plus"),
         F.lit(1).alias("transaction_count"),
         "is_new_build",
@@ -145,15 +145,6 @@ class Star:
     date_rows: int | None = None
     location_rows: int | None = None
     property_rows: int | None = None
-    fact_rows: int | None = None
-
-    def agg_cfg(self) -> Config:
-        """Parameters with the median strategy resolved for this fact's size."""
-        c = self.cfg
-        if c.median_strategy != "auto":
-            return c
-        big = self.fact_rows is not None and self.fact_rows > c.median_distributed_min_rows
-        return c.with_(median_strategy="distributed" if big else "map")
 
     # Dimension sides of the star joins: broadcast behind the recorded size check.
     def locations(self, matched_only: bool = True) -> DataFrame:
@@ -186,7 +177,7 @@ class Star:
 
 def build_star(spark: SparkSession, flagged: DataFrame, cfg: Config) -> Star:
     return Star(
-        fact=fact_transactions(flagged),
+        fact=fact_transactions(flagged, cfg),
         dim_date=dim_date(spark, cfg),
         dim_location=dim_location(flagged, cfg),
         dim_property=dim_property(flagged),
@@ -199,10 +190,10 @@ def materialize_star(spark: SparkSession, star: Star, root: str) -> Star:
     """Write the marts as tables (drop and rebuild) and return frames over the files."""
     fact_p, date_p, loc_p, prop_p = (f"{root}/{n}" for n in
                                      ("fact_transactions", "dim_date", "dim_location", "dim_property"))
-    star.fact.write.mode("overwrite").partitionBy("sale_year").parquet(fact_p)
-    star.dim_date.write.mode("overwrite").parquet(date_p)
-    star.dim_location.write.mode("overwrite").parquet(loc_p)
-    star.dim_property.write.mode("overwrite").parquet(prop_p)
+    star.fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("sale_year").parquet(fact_p)
+    star.dim_date.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(date_p)
+    star.dim_location.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(loc_p)
+    star.dim_property.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(prop_p)
     fact = spark.read.parquet(fact_p).select(*FACT_COLUMNS)
     d_date = spark.read.parquet(date_p)
     d_loc = spark.read.parquet(loc_p)
@@ -213,6 +204,4 @@ def materialize_star(spark: SparkSession, star: Star, root: str) -> Star:
         date_rows=star.date_rows,
         location_rows=d_loc.limit(cap + 1).count(),
         property_rows=d_prop.limit(cap + 1).count(),
-        # answered from Parquet footers (row-group metadata), not by reading the rows
-        fact_rows=fact.count(),
     )

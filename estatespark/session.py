@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCK = threading.Lock()
-_FALLBACK: dict[int, str] = {}  # temp root per session when no checkpoint dir is configured
+_FALLBACK: dict[str, str] = {}  # temp root per application when no checkpoint dir is configured
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "estatespark",
@@ -31,7 +32,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ESTATESPARK_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if event_log_dir:
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
@@ -43,8 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Root for tables this library writes (lineage cuts, materialised marts, scratch).
 
-    Uses the shared folder the cluster names in ``spark.checkpoint.dir``. Only when that is
-    unset (local runs, tests) a private temporary folder is created and registered.
+    Uses the shared folder the cluster names in ``spark.checkpoint.dir``. Where that is unset
+    a local master gets a private temporary folder; any other raises, as its executors would
+    not see the driver's files. The caller's checkpoint folder is never set here.
     """
     with _LOCK:
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,13 +53,13 @@ def shared_dir(spark: SparkSession) -> str:
         if not root and sc is not None:
             root = sc.getCheckpointDir()
         if not root:
-            root = _FALLBACK.get(id(spark))
-        if not root:
-            root = tempfile.mkdtemp(prefix="estatespark-")
-            if sc is not None:
-                sc.setCheckpointDir(root)
-                root = sc.getCheckpointDir() or root
-            _FALLBACK[id(spark)] = root
+            app = app_id(spark)
+            root = _FALLBACK.get(app)
+            if not root:
+                master = spark.conf.get("spark.master", "")
+                if not re.match(r"local(\[|$)", master):
+                    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+                root = _FALLBACK[app] = tempfile.mkdtemp(prefix="estatespark-")
         return root.rstrip("/")
 
 
@@ -71,8 +72,21 @@ def _context(spark: SparkSession):
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return "/".join([shared_dir(spark), "estatespark", *parts, uuid.uuid4().hex])
+    """A fresh, unique path under the shared folder, removed when the application ends."""
+    path = "/".join([shared_dir(spark), "estatespark", *parts, uuid.uuid4().hex])
+    sc = _context(spark)
+    if sc is not None:
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.deleteOnExit(jpath)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, read back: computed once, lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def app_id(spark: SparkSession) -> str:

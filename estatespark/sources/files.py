@@ -2,7 +2,10 @@
 load, lake inventory and CSV export.
 
 Every reader declares its schema (no inference pass over the data) and every writer is a
-single distributed write; nothing is concatenated or listed on the driver.
+single distributed write; nothing is concatenated on the driver, which holds file listings only.
+
+CSV follows RFC 4180: a quote inside a quoted field is doubled, and a backslash is an ordinary
+character. Fields with line breaks need ``multi_line=True``, which reads each file in one task.
 """
 
 from __future__ import annotations
@@ -31,36 +34,58 @@ SEED_SCHEMA = T.StructType([
 
 # Whitespace is data here (padded postcodes are trimmed later, by the staging model), so the
 # CSV writer must not strip it.
-_CSV_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_OPTIONS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "quote": '"', "escape": '"'}
+CORRUPT = "_corrupt_record"
 
 
 def year_from_path(pattern: str) -> Column:
-    """Year tagged from the source file path (``pp-2021.csv`` or a ``pp=2021`` folder)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).cast("int")
+    """Year tagged from the source file: ``pp-2021.csv``, or the ``pp=2021`` folder around it.
+
+    Only the file's name and the folder it lies in count, the name first.
+    """
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    name, folder = F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2))
+    found = lambda x: F.nullif(F.regexp_extract(x, "^" + pattern, 1), F.lit(""))
+    return F.coalesce(found(name), found(folder)).cast("int")
 
 
 def read_yearly_csv(spark: SparkSession, paths: str | list[str], year_pattern: str,
-                    schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+                    schema: T.StructType = RAW_SCHEMA, multi_line: bool = False,
+                    corrupt: bool = False) -> DataFrame:
     """Headerless yearly files with imposed names; each row tagged with its file's year.
 
     One multi-path scan: files are split into partitions by
     ``spark.sql.files.maxPartitionBytes``, so memory stays bounded whatever the file size.
-    Empty fields read as NULL; a malformed price becomes NULL (and is dropped by staging).
+    Empty fields read as NULL. A malformed price becomes NULL (and is dropped by staging);
+    with ``corrupt`` the whole line of such a row, and of one with too few or too many fields,
+    stands in ``_corrupt_record``.
     """
-    reader = (spark.read.schema(schema)
+    full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)]) if corrupt else schema
+    reader = (spark.read.schema(full)
               .option("header", "false")
-              .option("mode", "PERMISSIVE")
-              .options(**_CSV_KEEP_SPACES))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("multiLine", str(multi_line).lower())
+              .option("columnPruning", str(not corrupt).lower())  # a line is judged by all its fields
+              .options(**CSV_OPTIONS))
     df = reader.csv(paths)
-    return df.select(*[F.col(c) for c in schema.fieldNames()],
+    return df.select(*[F.col(c) for c in full.fieldNames()],
                      year_from_path(year_pattern).alias("source_year"))
 
 
+def malformed_rows(spark: SparkSession, paths: str | list[str], year_pattern: str) -> DataFrame:
+    """Lines per year, those with a price, and those that do not fit the schema (bad price,
+    wrong number of fields)."""
+    rows = read_yearly_csv(spark, paths, year_pattern, corrupt=True)
+    return rows.groupBy("source_year").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("price").alias("priced"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"))
+
+
 def write_yearly_csv(df: DataFrame, root: str, year_col: str = "source_year") -> str:
     """Land raw rows as headerless CSV, one folder per year (``root/pp=YYYY/``)."""
     (df.withColumn("pp", F.col(year_col)).drop(year_col)
-       .write.mode("overwrite").partitionBy("pp")
-       .options(**_CSV_KEEP_SPACES).option("header", "false")
+       .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("pp")
+       .options(**CSV_OPTIONS).option("header", "false")
        .csv(root))
     return root
 
@@ -68,11 +93,11 @@ def write_yearly_csv(df: DataFrame, root: str, year_col: str = "source_year") ->
 def read_seed(spark: SparkSession, path: str, schema: T.StructType = SEED_SCHEMA) -> DataFrame:
     """Headed seed CSV with declared column types."""
     return (spark.read.schema(schema).option("header", "true")
-            .options(**_CSV_KEEP_SPACES).csv(path))
+            .options(**CSV_OPTIONS).csv(path))
 
 
 def write_seed(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", "true").options(**_CSV_KEEP_SPACES).csv(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("header", "true").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -80,13 +105,13 @@ def land_bronze(spark: SparkSession, csv_paths: str | list[str], out: str,
                 year_pattern: str) -> str:
     """Bronze: the untouched raw rows, every field as text, no filter, partitioned by year."""
     raw = read_yearly_csv(spark, csv_paths, year_pattern, schema=RAW_TEXT_SCHEMA)
-    raw.write.mode("overwrite").partitionBy("source_year").parquet(out)
+    raw.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source_year").parquet(out)
     return out
 
 
 def write_silver(df: DataFrame, out: str) -> str:
     """Silver: typed, filtered rows as Snappy Parquet partitioned by source year."""
-    (df.write.mode("overwrite").option("compression", "snappy")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy")
        .partitionBy("source_year").parquet(out))
     return out
 
@@ -118,10 +143,14 @@ def lake_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def lake_total_mb(spark: SparkSession, root: str) -> DataFrame:
-    inv = lake_inventory(spark, root)
-    return inv.agg(F.count("*").alias("files"),
-                   F.round(F.sum("size_bytes") / F.lit(1024.0 * 1024.0), 3).alias("total_mb"))
+def lake_totals(spark: SparkSession, root: str, year_pattern: str) -> DataFrame:
+    """Bytes and MB per year, and of all files (year NULL, ``is_total``), in one listing."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select(year_from_path(year_pattern).alias("source_year"), F.col("length").alias("size_bytes")))
+    return (files.rollup("source_year").agg(F.sum("size_bytes").alias("size_bytes"),
+                                            (F.grouping("source_year") == 1).alias("is_total"))
+            .select("source_year", "is_total", "size_bytes",
+                    F.round(F.col("size_bytes") / F.lit(1024.0 * 1024.0), 3).alias("size_mb")))
 
 
 def export_csv(df: DataFrame, out: str) -> str:
@@ -130,8 +159,8 @@ def export_csv(df: DataFrame, out: str) -> str:
     Written with as many files as the (already small) result has partitions; extracts of
     aggregated views are tiny, so no single-task funnel is forced.
     """
-    df.toDF(*[c.upper() for c in df.columns]).write.mode("overwrite") \
-        .option("header", "true").options(**_CSV_KEEP_SPACES).csv(out)
+    df.toDF(*[c.upper() for c in df.columns]).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .option("header", "true").options(**CSV_OPTIONS).csv(out)
     return out
 
 
@@ -139,4 +168,4 @@ def read_export(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Read an extract back with the upper-cased schema of the frame it came from."""
     schema = T.StructType([T.StructField(f.name.upper(), f.dataType, True)
                            for f in like.schema.fields])
-    return spark.read.schema(schema).option("header", "true").options(**_CSV_KEEP_SPACES).csv(path)
+    return spark.read.schema(schema).option("header", "true").options(**CSV_OPTIONS).csv(path)

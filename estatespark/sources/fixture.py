@@ -43,6 +43,7 @@ ZERO_PRICE_EVERY = 499
 UNKNOWN_TYPE_EVERY = 701
 NULL_NEW_BUILD_EVERY = 353
 ADDITIONAL_PPD_EVERY = 20
+QUOTED_EVERY = 41  # streets with quotes, a comma and a backslash at the end
 UNMATCHED_DISTRICT_EVERY = 29
 DISTRICTS_PER_NATION = 6
 PRICE_SCALE = 12
@@ -126,7 +127,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tenure": tenure,
         "paon": F.col("o_custkey").cast("string"),
         "saon": F.lit(None).cast("string"),
-        "street": F.col("c_name"),
+        "street": (F.when(every(QUOTED_EVERY), F.concat(F.lit('FLAT "A", '), F.col("c_name"), F.lit("\\")))
+                   .otherwise(F.col("c_name"))),
         "locality": F.lit(None).cast("string"),
         "town": F.concat(F.lit(" "), F.lower(F.col("n_name")), F.lit(" ")),
         "district": F.lower(F.col("r_name")),
@@ -194,8 +196,9 @@ def warehouse_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _materialized.get(key)
         if path is None:
             path = materialized_path(spark, sf_dir, "raw_sales")
-            (warehouse_raw_lazy(spark, sf_dir).write.mode("overwrite")
-             .partitionBy("source_year").parquet(path))
+            # rebalanced by year, so a year has a few files of even size, a hot one more
+            (warehouse_raw_lazy(spark, sf_dir).hint("rebalance", "source_year").write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy("source_year").parquet(path))
             _materialized[key] = path
     return read_partitioned(spark, path, WAREHOUSE_COLUMNS)
 

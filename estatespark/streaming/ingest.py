@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Config
 from ..plans.ingest import filter_areas
-from ..sources.files import RAW_SCHEMA, year_from_path
+from ..sources.files import CSV_OPTIONS, RAW_SCHEMA, year_from_path
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, cfg: Config,
                max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(RAW_SCHEMA).option("header", "false")
-              .option("ignoreLeadingWhiteSpace", "false")
-              .option("ignoreTrailingWhiteSpace", "false")
+              .options(**CSV_OPTIONS)
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
@@ -31,8 +30,10 @@ def raw_stream(spark: SparkSession, raw_dir: str, cfg: Config,
 
 
 def ingest_available(spark: SparkSession, raw_dir: str, silver_dir: str, checkpoint_dir: str,
-                     cfg: Config, timeout_s: int | None = 600) -> str:
-    """Process every file landed so far into the silver table, then stop."""
+                     cfg: Config, timeout_s: int | None = None) -> str:
+    """Process every file landed so far into the silver table, then stop.
+
+    Waits to the end, however long; a caller who wants a limit gives it in seconds."""
     q = (filter_areas(raw_stream(spark, raw_dir, cfg), cfg)
          .writeStream.format("parquet")
          .option("path", silver_dir)

@@ -5,7 +5,8 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from estatespark.operators.median import distributed_median
+from estatespark.operators.median import (N, bucket_of, exact_median, recount, stats_with_median,
+                                          value_counts_table, weighted_mean, weighted_stddev)
 
 
 def brute(rows):
@@ -26,7 +27,7 @@ def test_matches_brute_force_with_hot_group(spark):
         rows += [(f"g{g}", rnd.randint(0, 1000)) for _ in range(size)]
     rows += [("evens", 1), ("evens", 2), ("single", 5), ("nulls", None), (None, 3), (None, 8)]
     df = spark.createDataFrame(rows, "g string, v bigint")
-    got = {r.g: r.median for r in distributed_median(df, ["g"], "v", buckets=16).collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
     want = brute(rows)
     assert got == want
     assert got["evens"] == 1.5 and got[None] == 5.5 and "nulls" not in got
@@ -36,36 +37,29 @@ def test_equals_builtin_exact_median(spark):
     rnd = random.Random(3)
     rows = [(rnd.randint(0, 5), rnd.randint(0, 3), rnd.randint(0, 10**6)) for _ in range(5000)]
     df = spark.createDataFrame(rows, "a int, b int, v bigint")
-    mine = {(r.a, r.b): r.m for r in distributed_median(df, ["a", "b"], "v", "m", 8).collect()}
+    mine = {(r.a, r.b): r.m for r in exact_median(df, ["a", "b"], "v", "m").collect()}
     ref = {(r.a, r.b): r.m for r in df.groupBy("a", "b").agg(F.median("v").alias("m")).collect()}
     assert mine == ref
 
 
-def test_kpis_equal_under_both_median_strategies(spark):
-    from conftest import SF001
-    from estatespark.config import FIXTURE
-    from estatespark.plans import kpi as K
-    from estatespark.plans import layers as P
-    from estatespark.plans.star import Star
-    base = P.star(spark, SF001, FIXTURE)
-    dist = Star(**{**base.__dict__, "cfg": FIXTURE.with_(median_strategy="distributed",
-                                                          median_buckets=32)})
-    for fn in (K.market_health, K.yoy_growth, K.undervalued_postcodes, K.tenure_premium,
-               K.property_type_roi, K.borough_price_trends):
-        a = sorted(map(tuple, fn(base).collect()), key=repr)
-        b = sorted(map(tuple, fn(dist).collect()), key=repr)
-        assert a == b, fn.__name__
-
-
-def test_auto_strategy_follows_fact_size(spark):
-    from estatespark.config import FIXTURE
-    from estatespark.plans.star import Star
-    small = Star(None, None, None, None, FIXTURE, fact_rows=10)
-    big = Star(None, None, None, None, FIXTURE, fact_rows=FIXTURE.median_distributed_min_rows + 1)
-    assert small.agg_cfg().median_strategy == "map"
-    assert big.agg_cfg().median_strategy == "distributed"
-    fixed = Star(None, None, None, None, FIXTURE.with_(median_strategy="map"), fact_rows=10**12)
-    assert fixed.agg_cfg().median_strategy == "map"
+def test_scaled_down_tables_of_finer_keys(spark):
+    rows = [("a", 1, 5), ("a", 2, 5), ("a", 2, 7), ("b", 1, None), ("a", 1, 9)]
+    df = spark.createDataFrame(rows, "g string, h int, v bigint")
+    fine = value_counts_table(df, ["g", "h"], "v", {"two": F.col("h") == 2})
+    cells = recount(fine, ["g"], "v", ["two"])
+    got = stats_with_median(cells, ["g"], "v", [F.sum(N).alias("n"), F.sum("two").alias("two"),
+                                                weighted_mean("v").alias("mean"), weighted_stddev("v").alias("sd")], "m")
+    found = {r.g: r for r in got.collect()}
+    assert (found["a"].n, found["a"].two, found["a"]["mean"], found["a"].m) == (4, 2, 6.5, 6.0)
+    assert abs(found["a"].sd - 1.9148542) < 1e-6
+    assert (found["b"].n, found["b"]["mean"], found["b"].sd, found["b"].m) == (1, None, None, None)
+
+
+def test_buckets_keep_the_order_of_values(spark):
+    values = [-10 ** 12, -5, -1, 0, 1, 2, 3, 1000, 1001, 10 ** 6, 10 ** 15]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = [r.b for r in df.orderBy("v").select(bucket_of(F.col("v")).alias("b")).collect()]
+    assert got == sorted(got)
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -74,9 +68,8 @@ from hypothesis import strategies as st  # noqa: E402
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
-                          st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60),
-       st.integers(2, 9))
-def test_distributed_median_property(spark, rows, buckets):
+                          st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60))
+def test_exact_median_property(spark, rows):
     df = spark.createDataFrame(rows, "g string, v bigint")
-    got = {r.g: r.median for r in distributed_median(df, ["g"], "v", buckets=buckets).collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
     assert got == brute(rows)

@@ -23,14 +23,3 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], ORACLES[name], SF001)
     assert r["status"] == "OK", r.get("detail")
-
-
-@pytest.mark.parametrize("name", ["q_market_health", "q_undervalued_postcodes", "q_tenure_premium"])
-def test_distributed_median_path_matches_oracle(spark, con, name, monkeypatch):
-    """The same queries with the fact-size switch forcing the distributed exact median."""
-    from estatespark.config import FIXTURE
-    from estatespark.plans import queries as Q
-    monkeypatch.setattr(Q, "CFG", FIXTURE.with_(median_distributed_min_rows=0))
-    assert Q.P.star(spark, SF001, Q.CFG).agg_cfg().median_strategy == "distributed"
-    r = compare(spark, con, name, Q.REGISTRY[name], ORACLES[name], SF001)
-    assert r["status"] == "OK", r.get("detail")

@@ -2,8 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
+from estatespark import catalog as E
+from estatespark.config import FIXTURE
+from estatespark.operators import median as MD
+from estatespark.plans import kpi as K
+from estatespark.plans import layers as P
 
 
 def plan(df) -> str:
@@ -21,17 +25,64 @@ def test_no_cartesian_no_python(spark, name):
         assert bad not in p, f"{name}: {bad}"
 
 
-def test_kpi_joins_dimensions_map_side_and_prunes_years(spark):
-    df = E.queries()["q_undervalued_postcodes"](spark, SF001)
-    p = plan(df)
+def scans(text: str, table: str) -> int:
+    """Scans of a written table in a formatted plan."""
+    return sum(1 for block in text.split("\n\n") if "Scan parquet" in block and f"/{table}" in block)
+
+
+@pytest.fixture
+def counted(monkeypatch):
+    """The plans of the count tables that a KPI writes."""
+    plans = []
+    real = MD.written
+    monkeypatch.setattr(MD, "written", lambda df, name: plans.append(plan(df)) or real(df, name))
+    return plans
+
+
+KPIS = [K.borough_price_trends, K.yoy_growth, K.property_type_roi, K.undervalued_postcodes,
+        K.new_build_premium, K.tenure_premium, K.market_health]
+
+
+@pytest.mark.parametrize("kpi", KPIS, ids=lambda f: f.__name__)
+def test_medians_scan_the_fact_once(spark, counted, kpi):
+    rest = plan(kpi(P.star(spark, SF001, FIXTURE)))
+    assert [scans(p, "fact_transactions") for p in counted] == [1]
+    assert scans(rest, "fact_transactions") == 0 and "Expand" not in counted[0] + rest
+
+
+@pytest.mark.parametrize("name", ["q_investment_matrix", "q_borough_growth_ranking", "q_type_consistency"])
+def test_reports_scan_the_fact_once_unsorted(spark, counted, name):
+    rest = plan(E.queries()[name](spark, SF001))
+    assert [scans(p, "fact_transactions") for p in counted] == [1]
+    assert scans(rest, "fact_transactions") == 0 and "rangepartitioning" not in rest
+
+
+def test_kpi_joins_dimensions_map_side_and_prunes_years(spark, counted):
+    E.queries()["q_undervalued_postcodes"](spark, SF001)
+    p = counted[0]
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
     assert "PartitionFilters: [isnotnull(sale_year" in p and ">= 1999" in p
 
 
-def test_fact_scan_reads_only_needed_columns(spark):
-    p = plan(E.queries()["q_market_health"](spark, SF001))
+def test_fact_scan_reads_only_needed_columns(spark, counted):
+    E.queries()["q_market_health"](spark, SF001)
+    p = counted[0]
     block = p[p.index("fact_transactions"):]
     block = block[:block.index("ReadSchema")+200]
     assert "ReadSchema: struct<date_key:date,location_key:string,sale_price:bigint,is_central" in block
     assert "PartitionFilters: [isnotnull(sale_year" in block
     assert "GreaterThanOrEqual(date_key,1997-01-01)" in block
+
+
+@pytest.mark.parametrize("name,raw,fact", [("q_dq_unique", 1, 1), ("q_dq_not_null", 1, 1),
+                                           ("q_dq_accepted_values", 1, 0), ("q_dq_row_counts", 1, 1)])
+def test_quality_suite_reads_each_source_once(spark, name, raw, fact):
+    p = plan(E.queries()[name](spark, SF001))
+    assert (scans(p, "raw_sales"), scans(p, "fact_transactions")) == (raw, fact)
+
+
+def test_frequency_tables_scan_once_and_sort(spark):
+    df = E.queries()["q_value_counts"](spark, SF001)
+    assert plan(df).count("FileScan csv") + plan(df).count("Scan csv") <= 2  # outline and details
+    rows = [(r.column_name, -r.n) for r in df.collect()]
+    assert rows == sorted(rows)
