@@ -38,8 +38,8 @@ _TERM = re.compile(r"\b(" + "|".join(sorted(_SWAP, key=lambda t: (-len(t), t)))
 
 @dataclass(frozen=True)
 class Params:
-    sample: int = 8_000  # labelled rows fitted on, at most: those with the least hash
-    sample_chars: int = 40_000_000  # and at most so many code points of them together
+    sample: int = 5_000  # labelled rows fitted on, at most: those with the least hash
+    sample_chars: int = 20_000_000  # and at most so many code points of them together
     features: int = 1 << 20  # of a hash; a power of two
     stems: tuple[int, ...] = (4, 5, 6, 7, 8)  # bytes
     least_z: float = 4.5  # a feature's share of the toxic rows must differ so many deviations from its share of the others
@@ -66,7 +66,7 @@ def features(col: pa.Array, p: Params) -> Iterator[np.ndarray]:
     for i, j in T.slices(off):
         part = off[i:j + 1]
         kinds, words = T.stem_hashes(raw[part[0]:part[-1]], part - part[0], p.stems)
-        kinds = [(h >> np.uint64(12)).astype(np.int64) & (p.features - 1) for h in kinds]
+        kinds = [(h >> np.uint64(12)).astype(np.uint32).view(np.int32) & (p.features - 1) for h in kinds]
         for a, b in zip(words[:-1].tolist(), words[1:].tolist()):
             x = np.sort(np.concatenate([h[a:b] for h in kinds]))
             yield x[np.append(True, x[1:] != x[:-1])] if len(x) > 1 else x
@@ -77,8 +77,8 @@ class _Rows:
 
     def __init__(self, rows: list[np.ndarray]):
         size = np.array([len(r) for r in rows], np.int64)
-        self.at = np.concatenate([np.zeros(0, np.int64), *rows])
-        self.row = np.repeat(np.arange(len(rows)), size)
+        self.at = np.concatenate([np.zeros(0, np.int32), *rows])
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), size)
         self.n = len(rows)
 
     def times(self, w: np.ndarray) -> np.ndarray:
@@ -102,14 +102,16 @@ def fit(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     rows = list(features(pa.array(texts, pa.large_string()), p))
     named = [(i, s) for i, s in enumerate(map(counterfactual, texts)) if s != texts[i]]
     swapped = list(features(pa.array([s for _, s in named], pa.large_string()), p))
-    count = np.bincount(np.concatenate(rows), minlength=p.features)
-    toxic = np.bincount(np.concatenate([r for r, t in zip(rows, labels) if t]), minlength=p.features)
+    count, toxic = np.zeros(p.features, np.int64), np.zeros(p.features, np.int64)
+    for r, t in zip(rows, labels):  # a row names each of its features once
+        count[r] += 1
+        toxic[r] += t
     share = count / len(y)
     spread = np.sqrt(share * (1 - share) * (1 / y.sum() + 1 / (len(y) - y.sum()))) + 1e-12
     gap = toxic / y.sum() - (count - toxic) / (len(y) - y.sum())
     used = np.flatnonzero((np.abs(gap) >= p.least_z * spread) & (count > 0))
-    number = np.full(p.features, -1, np.int64)
-    number[used] = np.arange(len(used))
+    number = np.full(p.features, -1, np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
     short = lambda r: number[r][number[r] >= 0]
     x = _Rows([short(r) for r in rows])
     pairs = np.array([i for i, _ in named], np.int64)
