@@ -73,12 +73,15 @@ def _context(spark: SparkSession):
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder, removed when the application ends."""
-    path = "/".join([shared_dir(spark), "estatespark", *parts, uuid.uuid4().hex])
+    return ends_with_app(spark, "/".join([shared_dir(spark), "estatespark", *parts, uuid.uuid4().hex]))
+
+
+def ends_with_app(spark: SparkSession, path: str) -> str:
+    """The path, which Spark's driver removes when it ends (any Hadoop file system)."""
     sc = _context(spark)
     if sc is not None:
         jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
-        fs.deleteOnExit(jpath)
+        jpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return path
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import LONDON_AREAS
 from ..operators.joins import bounded_broadcast
-from ..session import app_id, shared_dir
+from ..session import app_id, ends_with_app, shared_dir
 from .files import RAW_COLUMNS, read_partitioned, to_warehouse
 
 # Fixed values of the fixture (test-data shape, not reference behaviour).
@@ -175,13 +175,26 @@ WAREHOUSE_COLUMNS = [("sale_date" if c == "date" else c) for c in RAW_COLUMNS] +
     "source_year", "loaded_at"]
 
 
+INPUTS = ("orders", "customer", "nation", "region")
+
+
+def listing(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the input files' names, sizes and times: changed tables are read anew."""
+    sc, found = spark.sparkContext, []
+    for name in INPUTS:
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(path):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(sorted(found)).encode()).hexdigest()
+
+
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (app_id(spark), sf_dir.rstrip("/"), what)
+    return (app_id(spark), sf_dir.rstrip("/"), listing(spark, sf_dir), what)
 
 
 def materialized_path(spark: SparkSession, sf_dir: str, what: str) -> str:
-    h = hashlib.sha1(f"{app_id(spark)}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
-    return f"{shared_dir(spark)}/estatespark/tables/{h}/{what}"
+    h = hashlib.sha1(f"{app_id(spark)}|{sf_dir.rstrip('/')}|{listing(spark, sf_dir)}".encode()).hexdigest()[:16]
+    return ends_with_app(spark, f"{shared_dir(spark)}/estatespark/tables/{h}/{what}")
 
 
 def warehouse_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
