@@ -94,4 +94,5 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB's SQL for those that it can express; the others are held against brute force."""
-    return {"op2_licenses": licenses.oracle_sql(), "op10_mix": mixing.oracle_sql()}
+    return {"op2_licenses": licenses.oracle_sql(), "op6_quotations": quotes.oracle_sql(),
+            "op10_mix": mixing.oracle_sql()}

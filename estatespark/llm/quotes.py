@@ -110,3 +110,54 @@ def in_reply_order(rows: DataFrame) -> DataFrame:
     """
     order = ["conv_id", "root_turn", "depth", "turn"]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def oracle_sql() -> str:
+    """The linked rows of conversations in DuckDB's SQL, with a recursive walk up the replies."""
+    def norm(x: str) -> str:
+        return rf"trim(regexp_replace(lower({x}), '[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+', ' ', 'g'))"
+
+    return rf"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, role,
+         string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS lines
+  FROM conversations),
+split AS (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM messages),
+marked AS (SELECT r, pos, line, regexp_extract(line, '{PREFIX}', 1) AS prefix FROM split),
+leveled AS (
+  SELECT r, pos, len(regexp_replace(prefix, '[^>]', '', 'g')) AS level, substr(line, len(prefix) + 1) AS content
+  FROM marked),
+changed AS (
+  SELECT *, (level IS DISTINCT FROM lag(level) OVER (PARTITION BY r ORDER BY pos))::INT AS new FROM leveled),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY pos) AS run FROM changed),
+quotes AS (
+  SELECT r, level, {norm("string_agg(content, ' ' ORDER BY pos)")} AS key
+  FROM runs WHERE level > 0 GROUP BY r, run, level),
+told AS (SELECT * FROM quotes WHERE key <> ''),
+owns AS (
+  SELECT r, trim(string_agg(content, chr(10) ORDER BY pos), ' ' || chr(9) || chr(10)) AS own
+  FROM leveled WHERE level = 0 GROUP BY r),
+parts AS (
+  SELECT r, own AS part FROM owns
+  UNION SELECT r, unnest(regexp_split_to_array(own, '\n[ \t]*\n')) FROM owns
+  UNION SELECT r, unnest(string_split(own, chr(10))) FROM owns),
+firsts AS (
+  SELECT conv_id, {norm('part')} AS key, min(turn) AS source
+  FROM parts JOIN messages USING (r) WHERE {norm('part')} <> '' GROUP BY 1, 2),
+links AS (
+  SELECT m.conv_id, m.turn, (array_agg(f.source ORDER BY t.level, f.source DESC))[1] AS parent_turn,
+         count(*)::INT AS linked
+  FROM told t JOIN messages m USING (r) JOIN firsts f ON f.conv_id = m.conv_id AND f.key = t.key
+  WHERE f.source < m.turn GROUP BY m.conv_id, m.turn),
+walk AS (
+  SELECT conv_id, turn, parent_turn AS root_turn, 1 AS depth FROM links
+  UNION ALL
+  SELECT w.conv_id, w.turn, l.parent_turn, w.depth + 1
+  FROM walk w JOIN links l ON l.conv_id = w.conv_id AND l.turn = w.root_turn),
+roots AS (SELECT conv_id, turn, max(depth) AS depth, arg_max(root_turn, depth) AS root_turn FROM walk GROUP BY 1, 2)
+SELECT m.conv_id, m.turn, m.role, l.parent_turn, coalesce(w.root_turn, m.turn) AS root_turn,
+       coalesce(w.depth, 0)::INT AS depth, coalesce(n.n, 0)::INT AS quotes, coalesce(l.linked, 0)::INT AS linked,
+       coalesce(o.own, '') AS text, '<|' || coalesce(m.role, '') || '|>' || chr(10) || coalesce(o.own, '') AS formatted
+FROM messages m LEFT JOIN owns o USING (r) LEFT JOIN (SELECT r, count(*) AS n FROM told GROUP BY r) n USING (r)
+LEFT JOIN links l ON l.conv_id = m.conv_id AND l.turn = m.turn
+LEFT JOIN roots w ON w.conv_id = m.conv_id AND w.turn = m.turn"""

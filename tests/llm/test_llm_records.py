@@ -172,3 +172,11 @@ def test_no_messages(spark):
 def test_levels(spark, text, levels):
     row = Q.parsed(spark.createDataFrame([(1, 1, "user", text, None, None)], CONV)).select(F.col("quotes.level")).first()
     assert row[0] == levels
+
+
+def test_sql_of_the_links_agrees():
+    duckdb = pytest.importorskip("duckdb")
+    con, rows = duckdb.connect(), conversations()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [r[:4] for r in rows])
+    assert sorted(map(str, con.execute(Q.oracle_sql()).fetchall())) == sorted(map(str, brute_links(rows)))
