@@ -33,11 +33,16 @@ def summarize(text: str) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from estatespark.session import local_session
-    import __spark_entry__ as E
+    from estatespark import catalog as E
+    from estatespark.operators import median
+    tables: list[str] = []
+    real = median.written
+    median.written = lambda df, name: tables.append(summarize(formatted(df))) or real(df, name)
     spark = local_session(8, 8)
     print(f"# Physical plans ({os.path.basename(sf_dir)}, before adaptive re-planning)\n")
     print("Generated by `tools/explain_all.py`. Dimensions are broadcast behind recorded size "
-          "checks; every KPI is one aggregation shuffle after map-side joins. These are the "
+          "checks; every KPI is one aggregation shuffle after map-side joins, written as a "
+          "count table (shown first), and plans over that table. These are the "
           "initial adaptive plans: a SortMergeJoin between two aggregated (per-borough) "
           "tables carries the fact's static size estimate and is converted to a broadcast "
           "join by AQE from the runtime shuffle size.\n")
@@ -46,7 +51,10 @@ def main() -> None:
             print(f"## {name}\n\nStructured Streaming job (file source, availableNow); the "
                   "registered query reads its sink.\n")
             continue
+        tables.clear()
         df = fn(spark, sf_dir)
+        for t in tables:
+            print(f"## {name}: count table\n\n```\n{t}\n```\n")
         print(f"## {name}\n\n```\n{summarize(formatted(df))}\n```\n")
 
 
