@@ -1,5 +1,10 @@
 """Known licence texts and notices. Public licence wordings."""
 
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
 MIT = """MIT License
 
 Copyright (c) <year> <copyright holders>
@@ -133,3 +138,99 @@ NOTICES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
 )
+
+# What follows is looked up too, but stands outside the lists that the SQL is made of.
+
+_ADDRESS = re.compile(r"51\s+Franklin\s+St(?:reet)?,\s+Fifth\s+Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA")
+_ADDRESSES = ("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+              "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+              "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+              "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA",
+              "675 Mass Ave, Cambridge, MA 02139, USA", "")
+_TERMS_END = re.compile(r"(?m)^[ \t]*END OF TERMS AND CONDITIONS[ \t]*$")
+_ADDENDUM = re.compile(r"(?m)^ADDENDUM: How to use this License")
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the files in license_texts, as they are, without the appendix on how
+    to apply them, and with the earlier postal addresses of their publisher."""
+    out = []
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = file.read_text("utf-8")
+        forms = [text]
+        if end := _TERMS_END.search(text):
+            forms += [text[:end.end()], text[:end.start()]]
+        if end := _ADDENDUM.search(text):
+            forms.append(text[:end.start()])
+        for form in forms:
+            out += [(file.stem, x) for x in dict.fromkeys([form, *(_ADDRESS.sub(a, form) for a in _ADDRESSES)])]
+    return out
+
+
+# The names that notices use. An id is also announced by its SPDX line and by "License: <id>".
+_GNU = {"GPL": ("GNU General Public License", "GNU GPL", "GPL"),
+        "LGPL": ("GNU Lesser General Public License", "GNU LGPL", "LGPL"),
+        "AGPL": ("GNU Affero General Public License", "GNU AGPL", "AGPL"),
+        "GFDL": ("GNU Free Documentation License", "GNU FDL", "GFDL")}
+_GNU_VERSIONS = (("GPL", "1.0"), ("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.0"), ("LGPL", "2.1"), ("LGPL", "3.0"),
+                 ("AGPL", "3.0"), ("GFDL", "1.2"), ("GFDL", "1.3"))
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_NAMES = {
+    "MIT": ("MIT License", "MIT"),
+    "ISC": ("ISC License", "ISC"),
+    "0BSD": ("Zero-Clause BSD License", "BSD Zero Clause License", "0BSD License"),
+    "Zlib": ("zlib License",),
+    "Unlicense": ("Unlicense",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License",
+                     "BSD-3-Clause License"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache 2.0",
+                   "Apache License v2.0", "Apache Software License 2.0"),
+    "MPL-1.1": ("Mozilla Public License, Version 1.1", "Mozilla Public License 1.1", "MPL 1.1"),
+    "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0",
+                "MPL 2.0"),
+    "EPL-2.0": ("Eclipse Public License, Version 2.0", "Eclipse Public License 2.0", "EPL 2.0"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License 1.0"),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal License",
+                "Creative Commons Zero v1.0 Universal"),
+    "Artistic-1.0-Perl": (),
+    "Artistic-2.0": ("Artistic License 2.0",),
+} | {
+    f"CC-{kind}-{version}": tuple(x for name in (f"CC {kind} {version}", f"CC-{kind}-{version}",
+                                                 f"Creative Commons {long} {version}")
+                                  for x in (name, f"{name} License", f"{name} International",
+                                            f"{name} International License"))
+    for kind, long in _CC.items() for version in ("4.0", "3.0")
+}
+_VERBS = ("Licensed under", "Released under", "Distributed under",
+          *(f"This {thing} is {verb} under" for verb in ("licensed", "released")
+            for thing in ("work", "project", "software", "program")))
+_LATER = (" or later", " or any later version", " or (at your option) any later version")
+
+
+def _gnu_names() -> dict[str, list[str]]:
+    out = {}
+    for family, version in _GNU_VERSIONS:
+        plain = [name + sep + v for name in _GNU[family] for v in dict.fromkeys((version, version.removesuffix(".0")))
+                 for sep in (", version ", " v", " ", "v") if sep != "v" or name == family]
+        out |= {f"{family}-{version}": plain, f"{family}-{version}-or-later": [x + y for x in plain for y in _LATER],
+                f"{family}-{version}-only": [f"{x} only" for x in plain]}
+    return out
+
+
+def notices() -> list[tuple[str, str]]:
+    """(license_id, line) of the SPDX line and the common notice forms of each licence."""
+    out = []
+    for name, called in (_NAMES | _gnu_names()).items():
+        out += [(name, f"SPDX-License-Identifier: {name}"), (name, f"License: {name}")]
+        for x in called:
+            out.append((name, f"License: {x}"))
+            out += [(name, f"{verb} {the}{x}.") for verb in _VERBS for the in ("", "the ", "the terms of the ")]
+    return out
+
+
+def wordings() -> list[tuple[str, str]]:
+    """Every (license_id, text) that is looked up by default."""
+    return [*KNOWN, *NOTICES, *whole_texts(), *notices()]

@@ -1,9 +1,9 @@
 """License scans by canonical digests, in DataFrame functions only.
 
 A text's canonical form ignores case, punctuation, bullets, copyright lines and equivalent
-spellings. Its SHA-256 is hash-joined to the digests of the known licences' canonical forms, so
-a whole text is a known licence or none. Lines that are notices on their own are looked up in
-the same way, each line being an entire text.
+spellings. Its SHA-256 is hash-joined to the digests of a table of wordings, so a whole text is a
+known licence or none. Lines that are notices on their own are looked up in the same way, each
+line being an entire text. The SQL looks up the fixed lists KNOWN and NOTICES only.
 """
 
 from __future__ import annotations
@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .known_licenses import KNOWN, NOTICES
+from .common import cut, small
+from .known_licenses import KNOWN, NOTICES, wordings
+
+WORDINGS = 200_000  # rows of two short strings in a broadcast: at most some 30 MB
+MARKS = 16  # sets of letters that lines are searched for
 
 # Pattern and replacement, in this order; written so that Java's and RE2's syntax agree.
 LINES = (
@@ -47,32 +51,59 @@ def digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form.cast("binary"), 256))
 
 
-def known(like: DataFrame, entries: tuple[tuple[str, str], ...] = KNOWN + NOTICES) -> DataFrame:
-    """license_id and digest of known wordings: as many rows as entries, at most."""
-    rows = like.sparkSession.createDataFrame(list(entries), "license_id string, text string")
-    return (rows.select("license_id", digest(F.col("text")).alias("known_digest")).filter("known_digest is not null")
-            .groupBy("known_digest").agg(F.min("license_id").alias("license_id")))
+def default_wordings(like: DataFrame) -> DataFrame:
+    """license_id, text of the wordings that this package ships."""
+    return like.sparkSession.createDataFrame(wordings(), "license_id string, text string")
+
+
+def _mark(form: Column) -> Column:
+    """Letters that a raw line has in lower case if its canonical form is ``form``; else empty."""
+    kept = F.filter(F.split(form, " "), lambda w: ~w.rlike("licens|iz|or|sub|non|ment|https"))
+    longest = F.array_max(F.transform(kept, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    return F.when(F.contains(form, F.lit("licen")), F.lit("licen")).otherwise(F.coalesce(longest, F.lit("")))
+
+
+def _lookup(line: Column, listed: DataFrame) -> Column:
+    """Whether a line may be a wording of one line: a test of letters that spares the others' digests."""
+    marks = [r.mark for r in listed.filter("one_line").select(_mark(F.col("form")).alias("mark")).distinct()
+             .limit(MARKS + 1).collect()]
+    if len(marks) > MARKS or "" in marks:
+        return F.lit(True)
+    found = F.lit(False)
+    for mark in sorted({*marks, "licen"}):
+        found = found | F.contains(F.lower(line), F.lit(mark))
+    return found
+
+
+def known(wordings: DataFrame) -> DataFrame:
+    """license_id, form, known_digest, one_line of a table of wordings (license_id, text)."""
+    text = F.col("text").cast("string")
+    return (wordings.select(F.col("license_id").cast("string").alias("license_id"), canonical(text).alias("form"),
+                            (~F.contains(F.trim(text, F.lit(" \t\r\n")), F.lit("\n"))).alias("one_line"))
+            .filter("form != ''").withColumn("known_digest", F.sha2(F.col("form").cast("binary"), 256)))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, wordings: DataFrame | None = None) -> DataFrame:
     """doc_id, digest, license_id, notices for every row of ``docs`` (doc_id, text, any others).
 
-    license_id: the licence that the whole text is, else null. notices: the licences that lines
-    of the text announce, each once, in order of name (empty: none). A null text, and one
-    without letters or digits, has a null digest and no licence. Equal rows have equal results;
-    an empty table gives an empty result.
+    wordings: (license_id, text), of any number; by default those that this package ships. A
+    wording of one line is a notice. license_id: the licence that the whole text is, else null.
+    notices: the licences that lines of the text announce, each once, in order of name (empty:
+    none). A null text, and one without letters or digits, has a null digest and no licence.
+    Equal rows have equal results; an empty table gives an empty result.
     """
+    wordings = default_wordings(docs) if wordings is None else wordings
+    forms = cut(known(wordings), "wordings")
+    listed = small(cut(forms.groupBy("known_digest").agg(F.min("license_id").alias("license_id")), "listed"), bound=WORDINGS)
     text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"),
-                       F.coalesce(F.split(text, "\n"), F.array().cast("array<string>")).alias("lines"))
-    listed = known(docs)
-    index = F.create_map(*[F.lit(x) for r in listed.collect() for x in (r.known_digest, r.license_id)])
-    told = F.transform(F.filter("lines", lambda x: F.contains(F.lower(x), F.lit("licen"))),
-                       lambda x: F.try_element_at(index, digest(x)))
-    notices = F.array_sort(F.array_distinct(F.filter(told, lambda x: x.isNotNull())))
-    # the small side has a row for each known wording at most, whatever the data
-    return (rows.join(F.broadcast(listed), F.col("digest") == F.col("known_digest"), "left")
-            .select("doc_id", "digest", "license_id", F.array_join(notices, ",").alias("notices")))
+    lines = F.filter(F.coalesce(F.split(text, "\n"), F.array().cast("array<string>")), lambda x: _lookup(x, forms))
+    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text).alias("digest"),
+                           F.array_distinct(F.transform(lines, digest)).alias("lines"),
+                           F.monotonically_increasing_id().alias("row")), "scanned")
+    told = cut(rows.select("row", F.explode("lines").alias("known_digest")).join(listed, "known_digest")
+               .groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices")), "told")
+    return (rows.join(listed, F.col("digest") == F.col("known_digest"), "left").join(small(told, bound=WORDINGS), "row", "left")
+            .select("doc_id", "digest", "license_id", F.coalesce("notices", F.lit("")).alias("notices")))
 
 
 def oracle_sql() -> str:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 from estatespark.llm import known_licenses as KL
@@ -180,3 +181,35 @@ def test_sql_of_the_links_agrees():
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [r[:4] for r in rows])
     assert sorted(map(str, con.execute(Q.oracle_sql()).fetchall())) == sorted(map(str, brute_links(rows)))
+
+
+def test_whole_texts_and_notices_of_common_licences(spark):
+    names = ["GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Artistic-1.0-Perl",
+             "Apache-2.0"]
+    folder = Path(KL.__file__).parent / "license_texts"
+    texts = [(folder / f"{x}.txt").read_text() for x in names]
+    gpl = texts[1]
+    short = gpl[:gpl.index("END OF TERMS AND")].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+                                                        "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")
+    lines = {"# SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0-only", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+             "Released under CC-BY-ND 4.0": "CC-BY-ND-4.0", "distributed under the MPL 2.0": "MPL-2.0",
+             "This program is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+             "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "under no terms": ""}
+    rows = [(i, t, None, None, None) for i, t in enumerate([*texts, short, *(f"a\n{x}\nb" for x in lines)])]
+    got = sorted(C.scan(frame(spark, rows)).collect())
+    assert [r.license_id for r in got[:len(names) + 1]] == [*names, "GPL-2.0"]
+    assert [r.notices for r in got[len(names) + 1:]] == list(lines.values())
+
+
+def test_a_table_of_wordings(spark):
+    entries = [("House-1", "Ask  the owner\nfirst."), ("House-2", "Nothing may be copied."), ("House-0", "NOTHING may be copied"),
+               ("Other", "Organisation use only"), (None, None), ("Empty", "..")]
+    own = spark.createDataFrame(entries, "license_id string, text string")
+    rows = awkward() + [(500, "ask the owner first", None, None, None), (501, "Nothing may be copied", None, None, None),
+                        (502, "x\n* nothing may be copied!\norganization use only\nReleased under the MIT License.", None, None, None)]
+    got = C.scan(frame(spark, rows), own).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: (r.license_id, r.notices) for r in got}
+    assert by_id[500] == ("House-1", "") and by_id[501] == ("House-0", "House-0") and by_id[502] == (None, "House-0,Other")
+    none = C.scan(frame(spark, rows), own.limit(0)).collect()
+    assert len(none) == len(rows) and {(r.license_id, r.notices) for r in none} == {(None, "")}
