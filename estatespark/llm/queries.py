@@ -42,7 +42,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message without its quotes, linked to what it answers, in reply order."""
-    return quotes.in_reply_order(quotes.linked(table(spark, sf_dir, "conversations")))
+    return quotes.in_reply_order(quotes.linked(table(spark, sf_dir, "conversations"), partial=True))
 
 
 def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

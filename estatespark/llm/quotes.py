@@ -1,10 +1,11 @@
 """Quotation linking of conversations, in DataFrame functions only.
 
 Each message is parsed into lines with a quote level (the number of leading ``>``). Runs of
-lines of one level are passages. Quoted passages are hashed in normalised form and joined to
-the message of the same conversation that said them first, as a whole, as a paragraph or as a
-line. A message answers the latest message that its outermost linked quotes come from. Roots and
-depths follow by pointer jumping, and (root_turn, depth, turn) is the reply order.
+lines of one level are passages. Quoted passages, and on request their paragraphs and lines, are
+hashed in normalised form and joined to the message of the same conversation that said them first,
+as a whole, as a paragraph or as a line. A message answers the latest message that its outermost
+linked quotes come from. Roots and depths follow by pointer jumping, and (root_turn, depth, turn)
+is the reply order. The SQL links whole passages only.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ def _key(text: Column) -> Column:
 def parsed(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, own (the text without quoted lines), quotes, said.
 
-    quotes: (level, key) of each quoted passage; said: keys of the own text, its paragraphs and
-    its lines. Passages without letters or digits have no key.
+    quotes: (level, key, parts) of each quoted passage, parts being the keys of its paragraphs and
+    lines; said: keys of the own text, its paragraphs and its lines. Passages and parts without
+    letters or digits have no key.
     """
     prefix = lambda x: F.regexp_extract(x, PREFIX, 1)
     text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), "\r\n?", "\n")
@@ -42,7 +44,9 @@ def parsed(messages: DataFrame) -> DataFrame:
     stop = lambda k: F.coalesce(F.get("starts", k + 1), F.size("lines"))
     passages = F.transform("starts", lambda s, k: F.struct(
         level(s).alias("level"),
-        F.array_join(F.transform(F.slice("lines", s + 1, stop(k) - s), lambda x: x["content"]), " ").alias("text")))
+        F.array_join(F.transform(F.slice("lines", s + 1, stop(k) - s), lambda x: x["content"]), "\n").alias("text")))
+    parts = lambda x: F.array_distinct(F.concat(F.split(x, r"\n[ \t]*\n"), F.split(x, "\n")))
+    keys = lambda x: F.transform(F.filter(x, lambda y: normal(y) != ""), _key)
     quoted = F.filter(passages, lambda q: (q["level"] > 0) & (normal(q["text"]) != ""))
     own_lines = F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["content"])
     said = F.array_distinct(F.concat(F.array("own"), F.split("own", r"\n[ \t]*\n"), F.split("own", "\n")))
@@ -50,8 +54,9 @@ def parsed(messages: DataFrame) -> DataFrame:
                             F.col("role").cast("string").alias("role"), lines.alias("lines"))
             .withColumn("starts", starts))
     return (rows.withColumn("own", F.trim(F.array_join(own_lines, "\n"), F.lit(" \t\n")))
-            .withColumn("quotes", F.transform(quoted, lambda q: F.struct(q["level"].alias("level"), _key(q["text"]).alias("key"))))
-            .withColumn("said", F.transform(F.filter(said, lambda x: normal(x) != ""), _key))
+            .withColumn("quotes", F.transform(quoted, lambda q: F.struct(
+                q["level"].alias("level"), _key(q["text"]).alias("key"), keys(parts(q["text"])).alias("parts"))))
+            .withColumn("said", keys(said))
             .select("conv_id", "turn", "role", "own", "quotes", "said"))
 
 
@@ -70,29 +75,36 @@ def _roots(links: DataFrame) -> DataFrame:
             return state
 
 
-def linked(messages: DataFrame) -> DataFrame:
+def linked(messages: DataFrame, partial: bool = False) -> DataFrame:
     """conv_id, turn, role, parent_turn, root_turn, depth, quotes, linked, text, formatted.
 
     One row for every row of ``messages`` (conv_id, turn, role, text, any others). quotes is the
     number of its quoted passages, linked of those whose words an earlier turn of the
     conversation has as its own text, a paragraph or a line (the earliest turn that does).
-    parent_turn: the latest of these turns at the outermost linked level, else null;
+    parent_turn: the latest of these turns at the outermost linked level, else null. With
+    ``partial``, a passage is also linked by any of its paragraphs and lines that an earlier turn
+    has; at the outermost linked level these count where no whole passage is linked.
     root_turn: the end of that chain, the turn itself without a parent; depth: its length. text
     is the message without quoted lines. Null texts count as empty. Rows with a null conv_id or
     turn stay alone. Rows of one (conv_id, turn) are one message's parts and share its links.
     An empty table gives an empty result.
     """
-    rows = cut(parsed(messages), "parsed")
+    rows = cut(parsed(messages).withColumn("row", F.monotonically_increasing_id()), "parsed")
+    pieces = F.array(F.struct(F.lit(0).alias("rank"), F.col("q.key").alias("key")))
+    if partial:
+        pieces = F.concat(pieces, F.transform("q.parts", lambda x: F.struct(F.lit(1).alias("rank"), x.alias("key"))))
     quoted = cut(rows.filter("conv_id is not null and turn is not null")
-                 .select("conv_id", "turn", F.explode("quotes").alias("q"))
-                 .select("conv_id", "turn", F.col("q.level").alias("level"), F.col("q.key").alias("key")), "quoted")
+                 .select("conv_id", "turn", "row", F.posexplode("quotes").alias("at", "q"))
+                 .select("conv_id", "turn", "row", "at", F.col("q.level").alias("level"), F.explode(pieces).alias("p"))
+                 .select("conv_id", "turn", "row", "at", "level", "p.rank", "p.key"), "quoted")
     wanted = cut(quoted.select("conv_id", "key").distinct(), "wanted")
     first = cut(rows.select("conv_id", "turn", F.explode("said").alias("key")).filter("turn is not null")
                 .join(small(wanted, bound=500_000), ["conv_id", "key"], "left_semi")
                 .groupBy("conv_id", "key").agg(F.min("turn").alias("source")), "first")
     hits = quoted.join(first, ["conv_id", "key"]).filter("source < turn")
     links = cut(hits.groupBy("conv_id", "turn").agg(
-        F.min(F.struct("level", (-F.col("source")).alias("source"))).alias("best"), F.count("*").alias("linked"))
+        F.min(F.struct("level", "rank", (-F.col("source")).alias("source"))).alias("best"),
+        F.count_distinct("row", "at").alias("linked"))
         .select("conv_id", "turn", (-F.col("best.source")).alias("parent_turn"), "linked"), "links")
     placed = cut(links.join(_roots(links), ["conv_id", "turn"]), "placed")
     out = rows.join(small(placed, bound=500_000), ["conv_id", "turn"], "left")

@@ -165,6 +165,91 @@ def test_quotes_are_linked_as_by_loops(spark):
     assert order == sorted(order)
 
 
+def brute_partial(rows):
+    """(conv_id, turn) -> (parent_turn, linked) with partial quotes, by plain loops over whole words."""
+    words = lambda t: tuple(re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", t.lower()))
+
+    def blocks(lines):
+        out = [[]]
+        for x in lines:
+            out[-1].append(x) if x.strip(" \t") else out.append([])
+        return [words(" ".join(b)) for b in out]
+
+    said, runs = {}, {}
+    for c, t, _, text, *_ in rows:
+        if c is None or t is None:
+            continue
+        own, found = [], []
+        for line in (text or "").replace("\r\n", "\n").replace("\r", "\n").split("\n"):
+            mark = re.match(r"(?:[ \t]*>)*", line)[0]
+            level = mark.count(">")
+            if not level:
+                own.append(line)
+            if level and found and found[-1][0] == level:
+                found[-1][1].append(line[len(mark):])
+            else:
+                found.append((level, [line[len(mark):]]))
+        runs.setdefault((c, t), []).extend(f for f in found if f[0])
+        for part in {words(" ".join(own)), *blocks(own), *map(words, own)}:
+            said[c, part] = min(t, said.get((c, part), t))
+    out = {}
+    for (c, t), found in runs.items():
+        hits, linked = [], 0
+        for level, lines in found:
+            pieces = [(0, words(" ".join(lines))), *((1, b) for b in blocks(lines)), *((1, words(x)) for x in lines)]
+            mine = [(level, rank, -said[c, w]) for rank, w in pieces if w and said.get((c, w), t) < t]
+            hits, linked = hits + mine, linked + bool(mine)
+        if hits:
+            out[c, t] = (-min(hits)[2], linked)
+    return out
+
+
+THREAD = [
+    (0, "Hello all,\n\nthe first line is here\nthe second one follows\nand a third ends it\n\nSecond paragraph\nof two lines\n\nThird one"),
+    (1, "Hello all,\n\nanother message with\nits own hard wrapped\nlines in a paragraph"),
+    (2, "> the second one follows\n> and a third ends it\n\npartial multi-line"),
+    (3, "> Second paragraph\n> of two lines\n>\n> Third one\n\ntwo of three paragraphs"),
+    (4, "> Third one\n> its own hard wrapped\n\nneighbouring quotes"),
+    (5, "> another message with\n> its own hard wrapped\n> lines in a paragraph\n> [snip]\n\nan extra line"),
+    (6, "> Hello all,\n>\n> its own hard wrapped\n\ngreeting of 0, line of 1"),
+    (7, "> partial multi line\n> [snip]\n> > the second one follows\n> > and a third ends it\n\nouter partial, inner whole"),
+    (8, "> Third one\n\nx\n\n> neighbouring quotes\n> [snip]\n\nwhole first"),
+    (9, "> never said\n\nnone"),
+    (10, "> its own hard\n\nno whole line"),
+]
+
+
+def test_partial_quotes_are_linked(spark):
+    rows = [(7, t, "user", text, None, None) for t, text in THREAD]
+    got = {r.turn: r for r in Q.linked(spark.createDataFrame(rows, CONV), partial=True).collect()}
+    parents = {0: None, 1: None, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1, 7: 2, 8: 0, 9: None, 10: None}
+    assert {t: r.parent_turn for t, r in got.items()} == parents
+    assert got[7].root_turn == 0 and got[7].depth == 2 and got[7].linked == 2 and got[4].linked == got[4].quotes == 1
+
+
+def test_partial_quotes_as_by_loops(spark):
+    rng = random.Random(8)
+    rows = conversations() + [(8, t, "user", text, None, None) for t, text in THREAD]
+    for c in range(20, 24):
+        said = []
+        for t in range(30):
+            own = [" ".join(f"w{rng.randrange(60)}" for _ in range(2)) for _ in range(6)]
+            own.insert(rng.randrange(1, 6), "")
+            text = []
+            for _ in range(rng.randrange(3) if said else 0):
+                q, a = rng.choice(said), rng.randrange(6)
+                text += [rng.choice(["> ", "> > ", ">"]) * 1 + x for x in q[a:a + rng.randrange(1, 5)]] + rng.choice([[], ["> more"], [""]])
+            rows.append((c, t, "user", "\n".join([*text, "", *own]), None, None))
+            said.append(own)
+    got = Q.linked(spark.createDataFrame(rows, CONV).repartition(5), partial=True).collect()
+    assert len(got) == len(rows)
+    expected = brute_partial(rows)
+    seen = {(r.conv_id, r.turn): (r.parent_turn, r.linked) for r in got if r.parent_turn is not None}
+    assert seen == expected and len(expected) > 100
+    whole = {(r[0], r[1]) for r in brute_links(rows) if r[3] is not None}
+    assert whole < set(seen)
+
+
 def test_no_messages(spark):
     assert Q.linked(spark.createDataFrame([], CONV)).collect() == []
 
