@@ -4,8 +4,8 @@ A text's features are the sets of its words and of their heads, hashed. The mode
 a bounded sample of labelled rows. Each sampled sentence that names a group (an identity term)
 is paired with its counterfactual, in which the term is swapped for another of its kind; the
 loss adds the squared change of the score between the two, so the weights cannot rest on which
-group a text mentions. Fitting runs on the driver over the sample's hashed features; scoring
-runs in the tasks, over whole texts.
+group a text mentions. Features of the sampled texts, whole, are extracted in the tasks; fitting
+runs on the driver over these alone. Scoring runs in the tasks, over whole texts.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
+from .common import cut
 
 # Identity terms that may stand for one another.
 IDENTITY_TERMS = (
@@ -38,8 +39,7 @@ _TERM = re.compile(r"\b(" + "|".join(sorted(_SWAP, key=lambda t: (-len(t), t)))
 
 @dataclass(frozen=True)
 class Params:
-    sample: int = 5_000  # labelled rows fitted on, at most: those with the least hash
-    sample_chars: int = 20_000_000  # and at most so many code points of them together
+    sample: int = 12_000  # labelled rows fitted on, at most: those with the least hash
     features: int = 1 << 20  # of a hash; a power of two
     stems: tuple[int, ...] = (4, 5, 6, 7, 8)  # bytes
     least_z: float = 4.5  # a feature's share of the toxic rows must differ so many deviations from its share of the others
@@ -94,14 +94,20 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     """A model for the labels 0 and 1; with one kind of label, or none, a constant score."""
+    rows = list(features(pa.array(texts, pa.large_string()), p))
+    named = [(i, s) for i, s in enumerate(map(counterfactual, texts)) if s != texts[i]]
+    swapped = list(features(pa.array([s for _, s in named], pa.large_string()), p))
+    return fit_features(rows, [i for i, _ in named], swapped, labels, p)
+
+
+def fit_features(rows: list[np.ndarray], named: list[int], swapped: list[np.ndarray], labels: list[int],
+                 p: Params = Params()) -> Model:
+    """The model of rows of features; ``swapped`` has those of the counterfactuals of the rows ``named``."""
     weights = np.zeros(p.features, np.float32)
     y = np.array(labels, float)
     if len(y) == 0 or y.min() == y.max():
         prior = (y.sum() + 0.5) / (len(y) + 2.0)
         return Model(weights, float(np.log(prior / (1 - prior))))
-    rows = list(features(pa.array(texts, pa.large_string()), p))
-    named = [(i, s) for i, s in enumerate(map(counterfactual, texts)) if s != texts[i]]
-    swapped = list(features(pa.array([s for _, s in named], pa.large_string()), p))
     count, toxic = np.zeros(p.features, np.int64), np.zeros(p.features, np.int64)
     for r, t in zip(rows, labels):  # a row names each of its features once
         count[r] += 1
@@ -114,7 +120,7 @@ def fit(texts: list[str], labels: list[int], p: Params = Params()) -> Model:
     number[used] = np.arange(len(used), dtype=np.int32)
     short = lambda r: number[r][number[r] >= 0]
     x = _Rows([short(r) for r in rows])
-    pairs = np.array([i for i, _ in named], np.int64)
+    pairs = np.array(named, np.int64)
     xs = _Rows([short(r) for r in swapped])
     balance = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both kinds weigh alike
     scale = 1 / np.sqrt(count[used] + 1.0)  # rare features learn as fast as frequent ones
@@ -152,15 +158,35 @@ def fit_frame(docs: DataFrame, labels: DataFrame, learn: Column, p: Params = Par
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     picked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (texts.join(F.broadcast(picked), "doc_id").filter("text is not null")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(p.sample))
-    found, chars = [], 0
-    for r in rows.toLocalIterator():
-        chars += len(r.text)
-        if chars > p.sample_chars:
-            break
-        found.append((r.text, r.toxic))
-    return fit([t for t, _ in found], [y for _, y in found], p)
+    mark = [F.xxhash64("doc_id").alias("mark"), F.sha2(F.col("text").cast("binary"), 256).alias("digest")]
+    sampled = texts.join(F.broadcast(picked), "doc_id").filter("text is not null").select("doc_id", "toxic", "text", *mark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):  # one row at a time: texts may be long
+                one = b.slice(i, 1)
+                text = one.column("text")[0].as_py()
+                other = counterfactual(text)
+                found = [next(features(pa.array([x], pa.large_string()), p)).astype(np.int32).tobytes() if x is not None else None
+                         for x in (text, other if other != text else None)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(one.column(c) for c in ("mark", "doc_id", "digest", "toxic")),
+                     *(pa.array([x], pa.binary()) for x in found)],
+                    names=["mark", "doc_id", "digest", "toxic", "own", "swapped"])
+    order = ["mark", "doc_id", "digest", "row"]
+    rows = cut(sampled.mapInArrow(run, "mark long, doc_id long, digest string, toxic int, own binary, swapped binary")
+               .withColumn("row", F.monotonically_increasing_id()), "features")
+    kept = {r.row: i for i, r in enumerate(rows.select(*order).orderBy(*order).limit(p.sample).collect())}
+    own: list[np.ndarray] = [np.zeros(0, np.int32)] * len(kept)
+    marks, pairs = [0] * len(kept), {}
+    for r in rows.select("row", "toxic", "own", "swapped").toLocalIterator():  # a partition at a time
+        i = kept.get(r.row)
+        if i is not None:
+            own[i], marks[i] = np.frombuffer(r.own, np.int32), r.toxic
+            if r.swapped is not None:
+                pairs[i] = np.frombuffer(r.swapped, np.int32)
+    named = sorted(pairs)
+    return fit_features(own, named, [pairs[i] for i in named], marks, p)
 
 
 def score(docs: DataFrame, model: Model, p: Params = Params()) -> DataFrame:

@@ -74,6 +74,22 @@ def test_frames_with_awkward_rows(spark):
     assert X.keep_clean(frame(spark, awkward()), nothing).count() == len(awkward())
 
 
+def test_a_very_long_labelled_text_does_not_end_the_sample(spark):
+    texts, marks = labelled(5, 400)
+    ids = spark.range(2000, 2400).orderBy(F.xxhash64("id")).limit(1).first().id  # the first of the sample
+    rows = [(2000 + i, t) for i, t in enumerate(texts) if 2000 + i != ids]
+    long = spark.range(1).select(F.lit(ids).cast("long").alias("doc_id"), F.repeat(F.lit("plain old words "), 1_300_000).alias("text"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(long)
+    labels = spark.createDataFrame([(2000 + i, 0, 0 if 2000 + i == ids else m) for i, m in enumerate(marks)],
+                                   "doc_id long, quality int, toxic int")
+    model = X.fit_frame(docs, labels, F.lit(True))
+    found = X.scores(pa.array(["a word idiot moron scum", "a plain word"]), model, X.Params())
+    assert found[0] >= 0.5 > found[1]
+    kept = [t for i, t in enumerate(texts) if 2000 + i != ids]
+    same = X.fit(kept + ["plain old words"], [m for i, m in enumerate(marks) if 2000 + i != ids] + [0])
+    assert abs(X.scores(pa.array(kept), model, X.Params()) - X.scores(pa.array(kept), same, X.Params())).max() < 1e-3
+
+
 def test_held_out_toxicity_of_the_test_tables(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
