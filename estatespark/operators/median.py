@@ -52,7 +52,11 @@ def weighted_stddev(value: str, weight: str = N) -> Column:
     w = F.when(F.col(value).isNotNull(), F.col(weight))
     n = F.sum(w).cast("double")
     s1 = F.sum(F.col(value) * F.col(weight)).cast("double")
-    s2 = F.sum((v * v).cast("decimal(30,0)") * F.col(weight).cast("decimal(8,0)")).cast("double")
+    # counts in two parts, so that a cell of 10^8 rows or more overflows no product
+    square = (v * v).cast("decimal(30,0)")
+    low = F.sum(square * (F.col(weight) % F.lit(10**8)).cast("decimal(8,0)"))
+    high = F.sum(square * F.expr(f"(`{weight}` div {10**8})").cast("decimal(11,0)"))
+    s2 = low.cast("double") + high.cast("double") * F.lit(1e8)
     spread = F.greatest((s2 - s1 * s1 / F.nullif(n, F.lit(0.0))), F.lit(0.0))
     return F.sqrt(F.when(n > F.lit(1.0), spread / F.nullif(n - F.lit(1.0), F.lit(0.0))))
 

@@ -73,3 +73,17 @@ def test_exact_median_property(spark, rows):
     df = spark.createDataFrame(rows, "g string, v bigint")
     got = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
     assert got == brute(rows)
+
+
+def test_deviation_of_cells_beyond_a_hundred_million_rows(spark):
+    cells = {"hot": [(100_000, 3 * 10**8 + 7), (450_000, 10**11), (12_000_000, 5)], "edge": [(1, 10**8), (3, 10**8 - 1)],
+             "few": [(10, 2), (14, 2), (None, 10**9)], "one": [(9, 1)]}
+    rows = [(g, v, n) for g, vs in cells.items() for v, n in vs]
+    df = spark.createDataFrame(rows, f"g string, v bigint, {N} bigint")
+    got = {r.g: r.sd for r in df.groupBy("g").agg(weighted_stddev("v").alias("sd")).collect()}
+    for g, vs in cells.items():
+        known = [(v, n) for v, n in vs if v is not None]
+        n = sum(c for _, c in known)
+        s1, s2 = sum(v * c for v, c in known), sum(v * v * c for v, c in known)
+        want = ((s2 * n - s1 * s1) / (n * (n - 1))) ** 0.5 if n > 1 else None
+        assert got[g] is None if want is None else abs(got[g] - want) <= 1e-6 * want
