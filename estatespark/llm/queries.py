@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, fingerprints, langid, licenses, mixing, neardup, quotes, tokenstore, toxicity,
-               warc)
+from . import (clusters, decontam, fingerprints, langid, licenses, mixing, neardup, quotes, suffixes,
+               tokenstore, toxicity, trie, warc)
 from .common import ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,9 +75,25 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, which open as the first of their group does."""
+    return trie.shared_openings(table(spark, sf_dir, "conversations"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors around 40 centroids."""
+    return clusters.with_inertia(*clusters.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def op13_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document by its repeats."""
+    return suffixes.judged(suffixes.measured(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 _QUERIES: tuple[QueryFn, ...] = (
     op1_fingerprints, op2_licenses, op3_near_duplicates, op4_token_store, op5_decontamination, op6_quotations,
-    op7_languages, op8_warc, op9_toxicity, op10_mix)
+    op7_languages, op8_warc, op9_toxicity, op10_mix, op11_prefix_trie, op12_centroids, op13_repetition)
 
 
 def _shipped(query: QueryFn) -> QueryFn:
@@ -95,4 +111,5 @@ def queries() -> dict[str, QueryFn]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB's SQL for those that it can express; the others are held against brute force."""
     return {"op2_licenses": licenses.oracle_sql(), "op6_quotations": quotes.oracle_sql(),
-            "op10_mix": mixing.oracle_sql()}
+            "op10_mix": mixing.oracle_sql(), "op11_prefix_trie": trie.oracle_sql(), "op12_centroids": clusters.oracle_sql(),
+            "op13_repetition": suffixes.oracle_sql()}

@@ -16,8 +16,8 @@ SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 SIGNS = np.arange(256) < 128
 SIGNS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 _U = np.uint64
@@ -59,7 +59,7 @@ def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         i = min(j, n)
 
 
-def _words(raw: np.ndarray, off: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, ...]:
+def _words(raw: np.ndarray, off: np.ndarray, apart: np.ndarray, fold: np.ndarray = _LOWER) -> tuple[np.ndarray, ...]:
     """Hash addends of the bytes inside words, their positions there, the words' first
     addends, their sizes, and the offsets of each row's words."""
     inner = ~apart[raw]
@@ -74,13 +74,13 @@ def _words(raw: np.ndarray, off: np.ndarray, apart: np.ndarray) -> tuple[np.ndar
     size = np.diff(np.append(head, len(at)))
     pos = np.arange(len(at)) - np.repeat(head, size)
     keys = stream(1, int(size.max()) if len(size) else 0)
-    val = (_LOWER[raw[at]].astype(np.uint64) + _U(1)) * keys[pos]
+    val = (fold[raw[at]].astype(np.uint64) + _U(1)) * keys[pos]
     return val, pos, head, size, words
 
 
-def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, and the offsets of each row's words."""
-    val, _, head, size, words = _words(raw, off, _SPACE)
+def word_hashes(raw: np.ndarray, off: np.ndarray, fold: np.ndarray = _LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word, its bytes mapped by ``fold``, and the offsets of each row's words."""
+    val, _, head, size, words = _words(raw, off, SPACE, fold)
     if len(head) == 0:
         return np.zeros(0, np.uint64), words
     return mix(np.add.reduceat(val, head) + size.astype(np.uint64)), words
