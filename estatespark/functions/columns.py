@@ -73,23 +73,6 @@ def surrogate_key(*cols: str | Column) -> Column:
     return F.md5(F.concat_ws(SURROGATE_KEY_SEPARATOR, *parts))
 
 
-def exact_avg(c: str | Column) -> Column:
-    """Mean of an integral column as exact SUM / COUNT (order-independent, unlike a running
-    double sum); NULL for an empty group."""
-    c = col(c)
-    return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
-
-
-def median(c: str | Column, approx_accuracy: int | None = None) -> Column:
-    """Exact median (interpolated for even counts). Partial aggregation keeps a value->count
-    map per group and task, so state is bounded by distinct values, not by rows. An explicit
-    accuracy opts into percentile_approx for domains with very many distinct values."""
-    c = col(c)
-    if approx_accuracy:
-        return F.percentile_approx(c, 0.5, approx_accuracy).cast("double")
-    return F.median(c).cast("double")
-
-
 def regex_first(c: str | Column, pattern: str) -> Column:
     """First match of ``pattern``; NULL when there is none."""
     return F.regexp_substr(col(c), F.lit(pattern))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,20 @@ def price_stats(price: str = "sale_price", digits: int = 0,
     return [exprs[w] for w in which]
 
 
+BITMAP_BITS = 32_768  # numbers in one of Spark's bitmaps
+
+
+def distinct_numbers(number: str, most: int) -> Column:
+    """How many of the dense numbers 1 to ``most`` occur: one bitmap for each 32,768 of them, so the
+    state is bounded by ``most`` bits and merges map-side. NULLs are not counted."""
+    x = F.col(number).cast("bigint")
+    counts = []
+    for b in range(1, max(1, -(-most // BITMAP_BITS)) + 1):
+        bit = F.when(F.bitmap_bucket_number(x) == F.lit(b), F.bitmap_bit_position(x))
+        counts.append(F.bitmap_count(F.bitmap_construct_agg(bit)))
+    return reduce(lambda a, b: a + b, counts)
+
+
 def conditional_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str,
                       categories: Sequence[tuple[object, str]],
                       measures: Sequence[tuple[str, str]]) -> DataFrame:

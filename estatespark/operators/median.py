@@ -1,42 +1,33 @@
 """Exact medians and price statistics from one table of (keys, value) counts.
 
-``value_counts_table`` scans the rows once and writes, for every (keys, value), the number of rows and
-of those for which each flag holds. A hot group spreads over its values there, and counts combine
-map-side. All measures of a group come from that table: sums, means, deviations, conditional counts
-and the exact median. For the median no group meets in one task either:
-
-1. counts per (group, bucket), the bucket being a fixed logarithmic class of the value (64 to a
-   factor of e), so a group has at most some thousands of them;
-2. their running totals locate the bucket(s) that hold the middle rank(s);
-3. only those buckets' (value, count) rows are ordered, partitioned by (group, bucket).
-
-The answer equals ``percentile(value, 0.5)``: the middle value, or the mean of the two middle
-values for an even count. NULL values are ignored; a group of NULLs has a NULL median.
+``value_counts`` scans the rows once and counts, for every (keys, value), the rows and those for
+which each flag holds. A hot group spreads over its values there, and counts combine map-side. All
+measures of a group come from these cells in one more aggregation: sums, means, deviations,
+conditional counts and the exact median, a percentile weighted by the counts. So a statistic with
+a median is two exchanges behind the scan, whatever the size.
+
+What a task holds of a group is one number and count for each of its distinct values (prices in whole
+pounds: some hundred thousand), never its rows.
+
+The answer equals ``percentile(value, 0.5)`` over the rows: the middle value, or the mean of the two
+middle values for an even count. NULL values are ignored; a group of NULLs has a NULL median.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
-
 N = "__n"
-CLASSES = 64
 
 
-def value_counts_table(rows: DataFrame, keys: Sequence[str], value: str,
-                       flags: Mapping[str, Column] | None = None) -> DataFrame:
-    """keys, value, ``__n`` and a count for each flag: one row per (keys, value), written."""
+def value_counts(rows: DataFrame, keys: Sequence[str], value: str,
+                 flags: Mapping[str, Column] | None = None) -> DataFrame:
+    """keys, value, ``__n`` and a count for each flag: one row per (keys, value)."""
     counts = [F.count_if(c).alias(name) for name, c in (flags or {}).items()]
-    return written(rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(N), *counts), "value_counts")
-
-
-def recount(cells: DataFrame, keys: Sequence[str], value: str, flags: Sequence[str] = ()) -> DataFrame:
-    """A count table of fewer keys from a finer one."""
-    return cells.groupBy(*keys, value).agg(*[F.sum(c).alias(c) for c in (N, *flags)])
+    return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(N), *counts)
 
 
 def weighted_mean(value: str, weight: str = N) -> Column:
@@ -61,60 +52,18 @@ def weighted_stddev(value: str, weight: str = N) -> Column:
     return F.sqrt(F.when(n > F.lit(1.0), spread / F.nullif(n - F.lit(1.0), F.lit(0.0))))
 
 
-def bucket_of(v: Column) -> Column:
-    """An order-preserving class of a number: 64 classes to a factor of e, on either side of 0."""
-    x = v.cast("double")
-    return (F.signum(x) * F.floor(F.ln(F.abs(x) + F.lit(1.0)) * F.lit(float(CLASSES)))).cast("int")
-
-
-def median_of_counts(cells: DataFrame, keys: Sequence[str], value: str, alias: str = "median") -> DataFrame:
-    """keys and the exact median of ``value`` weighted by ``__n``, for groups with a value."""
-    keys, v = list(keys), F.col(value)
-    known = cells.where(v.isNotNull()).select(*keys, value, N, bucket_of(v).alias("__k"))
-    per_bucket = known.groupBy(*keys, "__k").agg(F.sum(N).alias("__bc"))
-    group = Window.partitionBy(*keys)
-    before = F.coalesce(F.sum("__bc").over(
-        group.orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    totals = per_bucket.select(*keys, "__k", "__bc", F.sum("__bc").over(group).alias("__total"),
-                               before.alias("__before"))
-    n = F.col("__total")
-    ranks = F.array(
-        F.struct(F.lit(0).alias("which"), F.floor((n + F.lit(1)) / F.lit(2)).alias("rank")),
-        F.struct(F.lit(1).alias("which"), (F.floor(n / F.lit(2)) + F.lit(1)).alias("rank")))
-    targets = (totals.select(*keys, "__k", "__bc", "__before", F.explode(ranks).alias("__t"))
-               .where((F.col("__t.rank") > F.col("__before"))
-                      & (F.col("__t.rank") <= F.col("__before") + F.col("__bc")))
-               .select(*keys, "__k", F.col("__t.which").alias("__which"),
-                       (F.col("__t.rank") - F.col("__before")).alias("__r")))
-    middle = join_on_keys(known, targets, keys + ["__k"], "inner")
-    w = Window.partitionBy(*keys, "__k", "__which").orderBy(value)
-    running = F.sum(N).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = (middle.select("*", running.alias("__cum"))
-           .where((F.col("__cum") >= F.col("__r")) & (F.col("__cum") - F.col(N) < F.col("__r"))))
-    return hit.groupBy(*keys).agg(
-        (F.sum(v.cast("double")) / F.count(F.lit(1)).cast("double")).alias(alias))
+def weighted_median(value: str, weight: str = N) -> Column:
+    """Exact median of the value over the rows a weight counts."""
+    return F.percentile(F.col(value), F.lit(0.5), F.col(weight))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median") -> DataFrame:
     """Exact median per group of plain rows; groups without a value have no row."""
-    return median_of_counts(value_counts_table(df, keys, value), keys, value, alias)
+    return (value_counts(df, keys, value).groupBy(*keys).agg(weighted_median(value).alias(alias))
+            .where(F.col(alias).isNotNull()))
 
 
 def stats_with_median(cells: DataFrame, keys: Sequence[str], value: str, aggs: Sequence[Column],
                       alias: str, digits: int = 0) -> DataFrame:
-    """keys, ``aggs`` (over the count table) and the rounded median, one row per group."""
-    keys = list(keys)
-    medians = median_of_counts(cells, keys, value, "__m")
-    base = cells.groupBy(*keys).agg(*aggs)
-    return join_on_keys(base, medians.select(*keys, F.round("__m", digits).alias(alias)), keys)
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join two per-group tables on possibly-NULL keys (NULL matches NULL)."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+    """keys, ``aggs`` (over the cells) and the rounded median, one row per group."""
+    return cells.groupBy(*keys).agg(*aggs, F.round(weighted_median(value), digits).alias(alias))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import bucketize, code_map, pct_change
-from ..operators.aggregates import conditional_pivot, price_stats
-from ..operators.median import N, join_on_keys, recount, stats_with_median, value_counts_table, weighted_mean
+from ..operators.aggregates import conditional_pivot, distinct_numbers, price_stats
+from ..operators.median import N, stats_with_median, value_counts, weighted_mean
 from ..operators.windows import change_columns, rank_within, tile_within, with_previous
 from .star import Star
 
@@ -64,17 +64,22 @@ def borough_price_trends(star: Star) -> DataFrame:
                      ["year", "quarter", "year_quarter", "quarter_start_date"])
     keys = [*BOROUGH_KEYS, "year", "quarter", "year_quarter", "quarter_start_date"]
     stats = stats_with_median(
-        value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+        value_counts(rows, keys, "sale_price"), keys, "sale_price",
         price_stats(which=("transactions", "avg_price", "min_price", "max_price", "price_stddev",
                            "price_volatility_ratio")), "median_price")
     return stats.select(*keys, "transactions", "avg_price", "median_price", "min_price",
                         "max_price", "price_stddev", "price_volatility_ratio")
 
 
-def yearly_borough_prices(star: Star) -> DataFrame:
+def borough_price_cells(star: Star) -> DataFrame:
+    """Sales per borough row, year and price: what yearly borough and market prices come from."""
     rows = star_rows(star, ["sale_price"], BOROUGH_KEYS, ["year"])
-    keys = [*BOROUGH_KEYS, "year"]
-    return stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+    return value_counts(rows, [*BOROUGH_KEYS, "year"], "sale_price")
+
+
+def yearly_borough_prices(star: Star, cells: DataFrame | None = None) -> DataFrame:
+    cells = borough_price_cells(star) if cells is None else cells
+    return stats_with_median(cells, [*BOROUGH_KEYS, "year"], "sale_price",
                              price_stats(which=("transactions", "avg_price")), "median_price")
 
 
@@ -158,7 +163,7 @@ def roi_table(star: Star) -> DataFrame:
                      prop_cols=["property_type_name", "property_category"])
     in_cal = (F.col("date_key") >= lo) & (F.col("date_key") < hi)
     keys = ["borough", "property_type_name", "property_category"]
-    cells = value_counts_table(rows, keys, "sale_price", {
+    cells = value_counts(rows, keys, "sale_price", {
         "_first": in_cal & (F.col("sale_year") == F.lit(cfg.first_year)),
         "_last": in_cal & (F.col("sale_year") == F.lit(cfg.last_year))})
     agg = stats_with_median(cells, keys, "sale_price", [
@@ -185,7 +190,7 @@ def postcode_stats(star: Star) -> DataFrame:
     rows = star_rows(star, ["sale_price"], ["borough", "postcode_district"], ["year"],
                      years=(cfg.recent_since_year, None))
     keys = ["borough", "postcode_district"]
-    stats = stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price", [
+    stats = stats_with_median(value_counts(rows, keys, "sale_price"), keys, "sale_price", [
         F.sum(N).alias("postcode_transactions"),
         F.round(weighted_mean("sale_price"), 0).alias("postcode_avg_price"),
     ], "postcode_median_price")
@@ -222,7 +227,7 @@ def undervalued_table(star: Star) -> DataFrame:
 def _segment_premium(star: Star, seg_col: str, seg_filter, categories) -> DataFrame:
     rows = star_rows(star, ["sale_price", seg_col], ["borough"]).where(seg_filter)
     keys = ["borough", seg_col]
-    per_seg = stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+    per_seg = stats_with_median(value_counts(rows, keys, "sale_price"), keys, "sale_price",
                                 [F.sum(N).alias("transactions")], "median_price")
     return conditional_pivot(per_seg, ["borough"], seg_col, categories,
                              [("transactions", "_txns"), ("median_price", "_median")])
@@ -253,27 +258,27 @@ def tenure_premium(star: Star) -> DataFrame:
 
 
 def yearly_market(star: Star) -> DataFrame:
-    """Yearly totals, medians and distinct boroughs and districts from one count table.
+    """Yearly totals, medians and distinct boroughs and districts, in two aggregations.
 
-    The table has a row per (year, borough, district, price); the distinct counts run on its
-    (year, borough, district) rows, a few for each, so no fact row is expanded."""
+    Boroughs and districts are counted as bits: every place has a dense number, and a year's
+    bitmaps (32,768 numbers each, as many as the dimension needs) combine map-side."""
     flags = ("is_million_plus", "is_super_prime", "is_central_london")
-    rows = star_rows(star, ["sale_price", *flags], ["borough", "postcode_district"], ["year"])
-    places = ["year", "borough", "postcode_district"]
-    fine = value_counts_table(rows, places, "sale_price", {f"_{c}": F.col(c) for c in flags})
-    cells = recount(fine, ["year"], "sale_price", [f"_{c}" for c in flags])
-    stats = stats_with_median(cells, ["year"], "sale_price", [
+    places = ["borough_number", "district_number"]
+    f = star.calendar_fact().select("location_key", "date_key", "sale_price", *flags)
+    rows = (f.join(star.numbered_locations().select("location_key", *places), "location_key")
+            .join(star.dates().select("date_key", "year"), "date_key"))
+    cells = value_counts(rows, ["year", *places], "sale_price", {f"_{c}": F.col(c) for c in flags})
+    n = star.location_count()
+    return stats_with_median(cells, ["year"], "sale_price", [
         F.sum(N).alias("total_transactions"),
         F.round(weighted_mean("sale_price"), 0).alias("avg_price"),
         F.sum(F.col("sale_price") * F.col(N)).alias("total_volume_gbp"),
         F.sum("_is_million_plus").alias("million_plus_transactions"),
         F.sum("_is_super_prime").alias("super_prime_transactions"),
         F.sum("_is_central_london").alias("central_london_transactions"),
-    ], "median_price")
-    active = (fine.groupBy(*places).agg(F.count(F.lit(1)).alias("prices")).groupBy("year")
-              .agg(F.size(F.collect_set("borough")).cast("bigint").alias("active_boroughs"),
-                   F.size(F.collect_set("postcode_district")).cast("bigint").alias("active_postcodes")))
-    return join_on_keys(stats, active, ["year"]).select(
+        distinct_numbers("borough_number", n).alias("active_boroughs"),
+        distinct_numbers("district_number", n).alias("active_postcodes"),
+    ], "median_price").select(
         "year", "total_transactions", "avg_price", "median_price", "total_volume_gbp",
         "million_plus_transactions", "super_prime_transactions", "central_london_transactions",
         "active_boroughs", "active_postcodes")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import FIXTURE
 from ..functions import pct_change, surrogate_key, try_date
 from ..operators.aggregates import conditional_pivot, price_stats
-from ..operators.median import N, stats_with_median, value_counts_table
+from ..operators.median import N, stats_with_median, value_counts
 from ..operators.spine import date_spine
 from ..operators.windows import rank_within, tile_within, with_previous
 from ..session import scratch_path
@@ -175,7 +175,7 @@ def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = P.star(spark, sf_dir, CFG)
     rows = K.star_rows(st, ["sale_price"], ["london_region"], ["year"], ["property_type_name"])
     keys = ["london_region", "property_type_name"]
-    return stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price", price_stats(
+    return stats_with_median(value_counts(rows, keys, "sale_price"), keys, "sale_price", price_stats(
         which=("transactions", "avg_price", "min_price", "max_price")), "median_price")
 
 
@@ -191,7 +191,7 @@ def q_pivot_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = K.star_rows(st, ["sale_price", "tenure_label"], ["borough"]).where(
         F.col("tenure_label").isin("Freehold", "Leasehold"))
     keys = ["borough", "tenure_label"]
-    per = stats_with_median(value_counts_table(rows, keys, "sale_price"), keys, "sale_price",
+    per = stats_with_median(value_counts(rows, keys, "sale_price"), keys, "sale_price",
                             [F.sum(N).alias("transactions")], "median_price")
     return conditional_pivot(per, ["borough"], "tenure_label",
                              [("Freehold", "freehold"), ("Leasehold", "leasehold")],
@@ -446,5 +446,4 @@ def q_type_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("q_growth_spread")
 def q_growth_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = P.star(spark, sf_dir, CFG)
-    return R.growth_spread(K.yoy_table(K.yearly_borough_prices(st)), K.market_table(K.yearly_market(st)))
+    return R.growth_spread_of(P.star(spark, sf_dir, CFG))

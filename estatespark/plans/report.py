@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.columns import rounded_mean
+from ..operators.median import N, stats_with_median
 from . import kpi as K
 from .star import Star
 
@@ -101,3 +102,10 @@ def growth_spread(yoy: DataFrame, market: DataFrame) -> DataFrame:
         "year", "best_borough_growth_pct", "market_growth_pct",
         F.round(F.col("best_borough_growth_pct") - F.col("market_growth_pct"), 2)
         .alias("spread_pct"))
+
+
+def growth_spread_of(star: Star) -> DataFrame:
+    """``growth_spread`` with both KPIs from the same price cells, so the fact is read once."""
+    cells = K.borough_price_cells(star)
+    yearly = stats_with_median(cells, ["year"], "sale_price", [F.sum(N).alias("total_transactions")], "median_price")
+    return growth_spread(K.yoy_table(K.yearly_borough_prices(star, cells)), K.market_table(yearly))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -153,6 +153,20 @@ class Star:
             loc = loc.where(F.col("borough") != F.lit(C.UNMATCHED_BOROUGH))
         return bounded_broadcast(loc, self.cfg.broadcast_max_rows, self.location_rows)
 
+    def location_count(self) -> int:
+        """Rows of the location dimension, all of them."""
+        if self.location_rows is None or self.location_rows > self.cfg.broadcast_max_rows:
+            return self.dim_location.count()
+        return self.location_rows
+
+    def numbered_locations(self) -> DataFrame:
+        """Matched locations with dense numbers (from 1) of their boroughs and districts, for bitmaps.
+        The numbers come from windows over the dimension's rows."""
+        loc = self.dim_location.where(F.col("borough") != F.lit(C.UNMATCHED_BOROUGH)).withColumns({
+            "borough_number": F.dense_rank().over(Window.orderBy("borough")),
+            "district_number": F.dense_rank().over(Window.orderBy("postcode_district"))})
+        return bounded_broadcast(loc, self.cfg.broadcast_max_rows, self.location_rows)
+
     def dates(self) -> DataFrame:
         return bounded_broadcast(self.dim_date, self.cfg.broadcast_max_rows, self.date_rows)
 

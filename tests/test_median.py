@@ -5,8 +5,8 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from estatespark.operators.median import (N, bucket_of, exact_median, recount, stats_with_median,
-                                          value_counts_table, weighted_mean, weighted_stddev)
+from estatespark.operators.aggregates import distinct_numbers
+from estatespark.operators.median import N, exact_median, stats_with_median, value_counts, weighted_mean, weighted_stddev
 
 
 def brute(rows):
@@ -42,11 +42,10 @@ def test_equals_builtin_exact_median(spark):
     assert mine == ref
 
 
-def test_scaled_down_tables_of_finer_keys(spark):
+def test_measures_of_cells_with_finer_keys(spark):
     rows = [("a", 1, 5), ("a", 2, 5), ("a", 2, 7), ("b", 1, None), ("a", 1, 9)]
     df = spark.createDataFrame(rows, "g string, h int, v bigint")
-    fine = value_counts_table(df, ["g", "h"], "v", {"two": F.col("h") == 2})
-    cells = recount(fine, ["g"], "v", ["two"])
+    cells = value_counts(df, ["g", "h"], "v", {"two": F.col("h") == 2})
     got = stats_with_median(cells, ["g"], "v", [F.sum(N).alias("n"), F.sum("two").alias("two"),
                                                 weighted_mean("v").alias("mean"), weighted_stddev("v").alias("sd")], "m")
     found = {r.g: r for r in got.collect()}
@@ -55,11 +54,13 @@ def test_scaled_down_tables_of_finer_keys(spark):
     assert (found["b"].n, found["b"]["mean"], found["b"].sd, found["b"].m) == (1, None, None, None)
 
 
-def test_buckets_keep_the_order_of_values(spark):
-    values = [-10 ** 12, -5, -1, 0, 1, 2, 3, 1000, 1001, 10 ** 6, 10 ** 15]
-    df = spark.createDataFrame([(v,) for v in values], "v bigint")
-    got = [r.b for r in df.orderBy("v").select(bucket_of(F.col("v")).alias("b")).collect()]
-    assert got == sorted(got)
+def test_bitmaps_count_distinct_numbers(spark):
+    rnd = random.Random(5)
+    rows = [(g, rnd.choice([None, rnd.randrange(1, 100_000), rnd.randrange(1, 50)])) for g in "abc" for _ in range(4000)]
+    rows.append(("none", None))
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = {r.g: r.n for r in df.groupBy("g").agg(distinct_numbers("v", 99_999).alias("n")).collect()}
+    assert got == {g: len({v for h, v in rows if h == g and v is not None}) for g in ("a", "b", "c", "none")}
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
