@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle_queries as OQ
+from .plans import mart_queries  # noqa: F401 - registers its queries
 from .plans import queries as Q
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -28,16 +28,6 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
             .where(F.col("n_records") > 1))
 
 
-def not_null_failures(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
-
-
-def accepted_values_failures(df: DataFrame, column: str, values: Iterable) -> DataFrame:
-    """Distinct non-null values outside the accepted list (NULL passes)."""
-    return (df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-            .groupBy(column).agg(F.count(F.lit(1)).alias("n_records")))
-
-
 def relationship_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
                           max_rows: int, known_rows: int | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent row."""

@@ -205,9 +205,64 @@ def oracle_sql() -> dict[str, str]:
 
     o["q_market_health"] = market_health_sql()
     o.update(more_bodies(o))
+    o.update(mart_bodies(o))
     return {k: with_ctes(v) for k, v in o.items()}
 
 
+def mart_bodies(o: dict[str, str]) -> dict[str, str]:
+    """Queries on the marts as a service."""
+    from .plans import quality_suite as QS
+    from .plans.star import NOT_NULL_COLUMNS
+    b: dict[str, str] = {}
+    b["q_load_history"] = """
+        SELECT source_year, count(*) AS rows, CAST(sum(price) AS BIGINT) AS price_total, count(*) AS ledger_rows,
+               CAST(1 AS INTEGER) AS last_load, CAST(0 AS INTEGER) AS loaded_again
+        FROM raw_csv GROUP BY source_year"""
+    b["q_mart_rebuild"] = """
+        SELECT sale_year, count(*) AS transactions, CAST(sum(sale_price) AS BIGINT) AS value, CAST(2 AS BIGINT) AS version
+        FROM fact GROUP BY sale_year"""
+    b["q_dq_observed"] = "\nUNION ALL\n".join(
+        f"SELECT 'not_null' AS check_name, '{r}' AS relation, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS failures, count(*) AS rows FROM {r}" for r, cols in NOT_NULL_COLUMNS for c in cols)
+    keys = {r: "transaction_id" for r in QS.RAW_LAYERS} | QS.KEYS
+
+    def failing(check: str, r: str, c: str, value: str, where: str) -> str:
+        return (f"SELECT '{check}' AS check_name, '{r}' AS relation, '{c}' AS column_name, CAST({keys[r]} AS VARCHAR) AS key, "
+                f"{value} AS value FROM {r} ch WHERE {where}")
+    b["q_dq_failing_rows"] = "\nUNION ALL\n".join(
+        [failing("unique", r, c, f"CAST({c} AS VARCHAR)", f"{c} IN (SELECT {c} FROM {r} GROUP BY {c} HAVING count(*) > 1)")
+         for r, c in QS.UNIQUE_TESTS]
+        + [failing("not_null", r, c, "CAST(NULL AS VARCHAR)", f"{c} IS NULL") for r, cols in QS.NOT_NULL_TESTS for c in cols]
+        + [failing("accepted_values", r, c, f"CAST({c} AS VARCHAR)", f"{c} IS NOT NULL AND {c} NOT IN {_in(v)}")
+           for r, c, v in QS.ACCEPTED_VALUES_TESTS]
+        + [failing("relationships", r, c, f"CAST({c} AS VARCHAR)",
+                   f"{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {pr} pa WHERE pa.{pc} = ch.{c})")
+           for r, c, pr, pc in QS.RELATIONSHIP_TESTS])
+    same = {"q_view_staging": "q_stg_transactions", "q_view_price_trends": "q_borough_price_trends", "q_view_yoy_growth": "q_yoy_growth",
+            "q_view_velocity": "q_transaction_velocity", "q_view_type_roi": "q_property_type_roi",
+            "q_view_undervalued": "q_undervalued_postcodes", "q_view_new_build": "q_new_build_premium",
+            "q_view_tenure": "q_tenure_premium", "q_view_market": "q_market_health",
+            "q_sql_surrogate_key": "q_surrogate_key", "q_sql_date_spine": "q_date_spine"}
+    b.update({name: o[other] for name, other in same.items()})
+    b["q_bucketed_join"] = """
+        SELECT l.borough, l.london_region, count(*) AS transactions, CAST(sum(f.sale_price) AS BIGINT) AS value
+        FROM fact f JOIN dim_location l ON f.location_key = l.location_key GROUP BY l.borough, l.london_region"""
+    b["q_calendar_slice"] = f"""
+        SELECT borough, year_quarter, count(*) AS transactions, CAST(sum(sale_price) AS BIGINT) AS value FROM fld
+        WHERE year_quarter IN ('{CFG.last_year}-Q1', '{CFG.last_year}-Q2') AND dayofweek(date_key) IN (0, 6)
+        GROUP BY borough, year_quarter"""
+    extracts = (("v_borough_price_trends", o["q_borough_price_trends"], "borough"), ("v_borough_yoy_growth", o["q_yoy_growth"], "borough"),
+                ("v_borough_transaction_velocity", o["q_transaction_velocity"], "borough"),
+                ("v_property_type_roi_by_borough", o["q_property_type_roi"], "borough"),
+                ("v_undervalued_postcodes", o["q_undervalued_postcodes"], "borough"),
+                ("v_new_build_premium", o["q_new_build_premium"], "borough"), ("v_market_health_summary", o["q_market_health"], "year"),
+                ("dim_location", "SELECT * FROM dim_location", "location_key"), ("dim_property", "SELECT * FROM dim_property", "property_key"))
+    b["q_export_extracts"] = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS extract, count(*) AS rows, count(DISTINCT {first}) AS first_column_values FROM ({sql}) e{i}"
+        for i, (name, sql, first) in enumerate(extracts))
+    return b
+
+
 def market_health_sql(upper: bool = False) -> str:
     cols = ["year", "total_transactions", "avg_price", "median_price", "total_volume_gbp",
             "million_plus_transactions", "super_prime_transactions", "central_london_transactions",

@@ -5,14 +5,15 @@ from __future__ import annotations
 
 from collections import OrderedDict
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators.joins import lookup_join
+from ..operators.joins import bounded_broadcast, lookup_join
 from ..operators.quality import (accepted_values_count, not_null_counts, relationship_counts,
                                  union_all, unique_count)
 from . import models as M
+from .star import NOT_NULL_COLUMNS, Star
 
 # The declared tests (relation, column) per check, in declaration order.
 UNIQUE_TESTS = (
@@ -38,10 +39,7 @@ NOT_NULL_TESTS = (
     ("priced", ("transaction_id", "price_band", "market_segment")),
     ("flagged", ("transaction_id", "is_central_london", "is_million_plus", "is_flat",
                  "is_leasehold")),
-    ("dim_date", ("date_key", "year", "quarter", "month_number")),
-    ("dim_location", ("location_key", "postcode_district", "borough", "london_region")),
-    ("dim_property", ("property_key", "property_type_code", "property_category")),
-    ("fact", ("transaction_key", "date_key", "location_key", "property_key", "sale_price")),
+    *NOT_NULL_COLUMNS,
 )
 
 ACCEPTED_VALUES_TESTS = (
@@ -174,3 +172,76 @@ def coverage(enriched: DataFrame) -> DataFrame:
     return by.select("is_unmatched", "rows",
                      F.round(F.col("rows").cast("double") * F.lit(100.0) / total.cast("double"), 2)
                      .alias("share_pct"))
+
+
+def observed_summary(star: Star) -> DataFrame:
+    """Rows and NULLs of the marts' tested columns, as counted while the marts were written: the
+    star's own writes are the only pass over the data."""
+    spark = star.fact.sparkSession
+    rows = [("not_null", r, c, star.observed[r][c], star.observed[r]["__rows"]) for r, cols in NOT_NULL_COLUMNS for c in cols]
+    return spark.createDataFrame(rows, "check_name string, relation string, column_name string, failures long, rows long")
+
+
+KEYS = {"boroughs": "postcode_district", "dim_date": "date_key", "dim_location": "location_key", "dim_property": "property_key",
+        "fact": "transaction_key"}
+
+
+def _failure(check: str, relation: str, column: str, value: Column) -> Column:
+    return F.struct(F.lit(check).alias("check_name"), F.lit(relation).alias("relation"), F.lit(column).alias("column_name"),
+                    value.cast("string").alias("value"))
+
+
+def _failed(rows: DataFrame, key: Column, tests: list[Column]) -> DataFrame:
+    """check_name, relation, column_name, value, key of the tests that fail: ``tests`` are arrays of
+    failures, NULL where a row passes. Rows without a failure make no row."""
+    found = F.flatten(F.filter(F.array(*tests), lambda x: x.isNotNull()))
+    return rows.select(key.cast("string").alias("key"), F.inline(found))
+
+
+def _row_tests(relation: str, of) -> list[tuple[Column, Column]]:
+    """(whether a row fails, the failure) for the not-null and accepted-values tests of a relation."""
+    nulls = [(of(c).isNull(), _failure("not_null", r, c, F.lit(None))) for r, cols in NOT_NULL_TESTS if r == relation for c in cols]
+    values = [(of(c).isNotNull() & ~of(c).isin(list(v)), _failure("accepted_values", r, c, of(c)))
+              for r, c, v in ACCEPTED_VALUES_TESTS if r == relation]
+    return nulls + values
+
+
+def _repeated(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The values of a column that occur more than once, and how often."""
+    return (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(f"__{name}_key")).agg(F.count(F.lit(1)).alias(name))
+            .where(F.col(name) > 1))
+
+
+def failing_rows(rels, wide: DataFrame, star: Star) -> DataFrame:
+    """Every row that fails one of the declared tests: check_name, relation, column_name, key, value.
+
+    A row gets an array of the tests it fails, which is exploded for failing rows only. Repeated keys
+    come from a count of each key (no window) that is joined back; where few are repeated, AQE turns
+    that into a broadcast. key is the row's key, value the failing value (NULL for not_null); a row
+    that a layer behind the lookup has twice fails there twice.
+    """
+    ids = [r for r in RAW_LAYERS if (r, "transaction_id") in UNIQUE_TESTS]
+    per_id = (wide.where(F.col("transaction_id").isNotNull()).groupBy("transaction_id")
+              .agg(*[F.sum(f"__w_{r}").alias(f"__n_{r}") for r in ids])
+              .where(" or ".join(f"__n_{r} > 1" for r in ids)))
+    raw = wide.join(per_id, "transaction_id", "left")
+    tests = []
+    for r in RAW_LAYERS:
+        checks = _row_tests(r, lambda c, r=r: _of(r, c))
+        if r in ids:
+            checks.append((F.col(f"__n_{r}") > 1, _failure("unique", r, "transaction_id", F.col("transaction_id"))))
+        tests += [F.when(bad & (F.col(f"__w_{r}") > 0), F.array_repeat(what, F.col(f"__w_{r}").cast("int"))) for bad, what in checks]
+    parts = [_failed(raw, F.col("transaction_id"), tests)]
+    cap = star.cfg.broadcast_max_rows
+    known = {"dim_date": star.date_rows, "dim_location": star.location_rows, "dim_property": star.property_rows}
+    for r, key in KEYS.items():
+        rows, checks = rels[r], _row_tests(r, F.col)
+        for i, c in enumerate(c for t, c in UNIQUE_TESTS if t == r):
+            rows = rows.join(_repeated(rels[r], c, f"__n{i}"), F.col(c) == F.col(f"____n{i}_key"), "left")
+            checks.append((F.col(f"__n{i}") > 1, _failure("unique", r, c, F.col(c))))
+        for i, (_, c, parent, pc) in enumerate(t for t in RELATIONSHIP_TESTS if t[0] == r):
+            there = rels[parent].select(F.col(pc).alias(f"__p{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
+            rows = rows.join(bounded_broadcast(there, cap, known.get(parent)), F.col(c) == F.col(f"__p{i}"), "left")
+            checks.append((F.col(c).isNotNull() & F.col(f"__hit{i}").isNull(), _failure("relationships", r, c, F.col(c))))
+        parts.append(_failed(rows, F.col(key), [F.when(bad, F.array(what)) for bad, what in checks]))
+    return union_all(parts).select("check_name", "relation", "column_name", "key", "value")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -145,6 +145,8 @@ class Star:
     date_rows: int | None = None
     location_rows: int | None = None
     property_rows: int | None = None
+    root: str | None = None  # where the tables lie
+    observed: dict[str, dict[str, int]] | None = None  # by table: its rows, and NULLs by tested column
 
     # Dimension sides of the star joins: broadcast behind the recorded size check.
     def locations(self, matched_only: bool = True) -> DataFrame:
@@ -155,9 +157,7 @@ class Star:
 
     def location_count(self) -> int:
         """Rows of the location dimension, all of them."""
-        if self.location_rows is None or self.location_rows > self.cfg.broadcast_max_rows:
-            return self.dim_location.count()
-        return self.location_rows
+        return self.dim_location.count() if self.location_rows is None else self.location_rows
 
     def numbered_locations(self) -> DataFrame:
         """Matched locations with dense numbers (from 1) of their boroughs and districts, for bitmaps.
@@ -200,22 +200,34 @@ def build_star(spark: SparkSession, flagged: DataFrame, cfg: Config) -> Star:
     )
 
 
+# The columns of the marts that are declared not null.
+NOT_NULL_COLUMNS = (
+    ("dim_date", ("date_key", "year", "quarter", "month_number")),
+    ("dim_location", ("location_key", "postcode_district", "borough", "london_region")),
+    ("dim_property", ("property_key", "property_type_code", "property_category")),
+    ("fact", ("transaction_key", "date_key", "location_key", "property_key", "sale_price")),
+)
+
+
+def _write_observed(df: DataFrame, path: str, columns: tuple[str, ...], partition: str | None = None) -> dict[str, int]:
+    """Writes a table and returns its rows and the NULLs of ``columns``, counted while writing."""
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    return seen.get
+
+
 def materialize_star(spark: SparkSession, star: Star, root: str) -> Star:
-    """Write the marts as tables (drop and rebuild) and return frames over the files."""
-    fact_p, date_p, loc_p, prop_p = (f"{root}/{n}" for n in
-                                     ("fact_transactions", "dim_date", "dim_location", "dim_property"))
-    star.fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("sale_year").parquet(fact_p)
-    star.dim_date.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(date_p)
-    star.dim_location.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(loc_p)
-    star.dim_property.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(prop_p)
-    fact = spark.read.parquet(fact_p).select(*FACT_COLUMNS)
-    d_date = spark.read.parquet(date_p)
-    d_loc = spark.read.parquet(loc_p)
-    d_prop = spark.read.parquet(prop_p)
-    cap = star.cfg.broadcast_max_rows
+    """Write the marts as tables (drop and rebuild) and return frames over the files, with the
+    row and NULL counts observed while they were written."""
+    paths = {"fact": f"{root}/fact_transactions", "dim_date": f"{root}/dim_date", "dim_location": f"{root}/dim_location",
+             "dim_property": f"{root}/dim_property"}
+    frames = {"fact": star.fact, "dim_date": star.dim_date, "dim_location": star.dim_location, "dim_property": star.dim_property}
+    tested = dict(NOT_NULL_COLUMNS)
+    observed = {n: _write_observed(frames[n], paths[n], tested[n], "sale_year" if n == "fact" else None) for n in paths}
     return Star(
-        fact=fact, dim_date=d_date, dim_location=d_loc, dim_property=d_prop, cfg=star.cfg,
-        date_rows=star.date_rows,
-        location_rows=d_loc.limit(cap + 1).count(),
-        property_rows=d_prop.limit(cap + 1).count(),
-    )
+        fact=spark.read.parquet(paths["fact"]).select(*FACT_COLUMNS), dim_date=spark.read.parquet(paths["dim_date"]),
+        dim_location=spark.read.parquet(paths["dim_location"]), dim_property=spark.read.parquet(paths["dim_property"]),
+        cfg=star.cfg, date_rows=star.date_rows, location_rows=observed["dim_location"]["__rows"],
+        property_rows=observed["dim_property"]["__rows"], root=root, observed=observed)

@@ -44,7 +44,12 @@ def year_from_path(pattern: str) -> Column:
 
     Only the file's name and the folder it lies in count, the name first.
     """
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    return year_of("_metadata.file_path", pattern)
+
+
+def year_of(path: str, pattern: str) -> Column:
+    """The year in a column of file paths."""
+    parts = F.split(F.col(path), "/")
     name, folder = F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2))
     found = lambda x: F.nullif(F.regexp_extract(x, "^" + pattern, 1), F.lit(""))
     return F.coalesce(found(name), found(folder)).cast("int")
