@@ -26,6 +26,6 @@ def test_core_queries_stay_without_a_package_of_the_corpus_operators():
     """A missing package costs the corpus queries only."""
     import subprocess
     code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as E; " \
-           "q = E.queries(); print('q_market_health' in q, 'op7_languages' in q, 'pipeline' in q)"
+           "q = E.queries(); print('q_market_health' in q, 'op7_languages' in q)"
     out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
-    assert out.stdout.split() == ["True", "False", "False"]
+    assert out.stdout.split() == ["True", "False"]
