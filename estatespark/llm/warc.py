@@ -2,9 +2,11 @@
 
 Writing: every task writes gzip-free WARC/1.1 files of its rows under a name of its own; the
 commit lists the files of the successful tasks in a manifest, so files of failed or repeated
-attempts are never read. Reading: the driver lists the manifest's files and cuts them into byte
-ranges of bounded size; a task starts at the first record boundary in its range, parses
-headers first, tests the pushed-down filters on them, and skips the payloads it need not read.
+attempts are never read. The manifest also has the place of a record every ``step`` bytes of a file,
+known to the writer, so nothing is guessed from a payload's bytes. Reading: the driver cuts the
+manifest's files into ranges of bounded size that begin at such places; a task goes from record to
+record, parses headers first, tests the pushed-down filters on them, and skips the payloads it
+need not read.
 """
 
 from __future__ import annotations
@@ -27,9 +29,10 @@ from ..session import scratch_path
 from .common import cut
 
 LEAST = 100  # bytes; shorter payloads are never replaced by a revisit
-SPLIT = 64 << 20  # bytes of a file for one task
+SPLIT = 64 << 20  # bytes of a file for one task, and between the places that the manifest has
 FILE = 256 << 20  # bytes after which a task starts another file
 MANIFEST = "_manifest.json"
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 RECORDS = ("record_id string, record_type string, target_uri string, page_id long, refers_to long, "
            "payload_digest string, payload_bytes long, content_length long, payload binary")
 _MARK = b"WARC/1.1\r\n"
@@ -69,33 +72,37 @@ def record(row) -> bytes:
 
 @dataclass
 class _Written(WriterCommitMessage):
-    files: list[tuple[str, int]]
+    files: list[tuple[str, int, list[int]]]  # name, bytes, places of records
 
 
 class _Writer(DataSourceWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, step: int):
+        self.path, self.step = path, step
 
     def write(self, iterator: Iterator) -> _Written:
         system, root = _open(self.path)
         system.create_dir(root, recursive=True)
-        files, out, size = [], None, 0
+        files, out, size, starts = [], None, 0, []
+
+        def close() -> None:
+            out.close()
+            files[-1] = (files[-1][0], size, starts)
         try:
             for row in iterator:
                 data = record(row)
                 if out is not None and size + len(data) > FILE:
-                    out.close()
-                    files[-1] = (files[-1][0], size)
+                    close()
                     out = None
                 if out is None:
-                    files.append((f"part-{uuid.uuid4().hex}.warc", 0))
-                    out, size = system.open_output_stream(f"{root}/{files[-1][0]}"), 0
+                    files.append((f"part-{uuid.uuid4().hex}.warc", 0, []))
+                    out, size, starts = system.open_output_stream(f"{root}/{files[-1][0]}"), 0, [0]
+                if size - starts[-1] >= self.step:
+                    starts.append(size)
                 out.write(data)
                 size += len(data)
         finally:
             if out is not None:
-                out.close()
-                files[-1] = (files[-1][0], size)
+                close()
         return _Written(files)
 
     def commit(self, messages: list) -> None:
@@ -116,28 +123,29 @@ class _Range(InputPartition):
     stop: int
 
 
+def _ranges(starts: list[int], size: int, split: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``split`` bytes that begin at some of the places ``starts``."""
+    first = None
+    for a, b in zip(starts, [*starts[1:], size]):
+        first = a if first is None else first
+        if b - first >= split or b == size:
+            yield first, b
+            first = None
+
+
 class _Reader(DataSourceReader):
+    """Reads all records."""
+
     def __init__(self, path: str, split: int, columns: list[str]):
         self.path, self.split, self.columns = path, split, columns
         self.tests: list[tuple[str, str, object]] = []
-        self.decode = True
-
-    def pushFilters(self, filters: list[Filter]):
-        """Takes what headers decide: equality, membership and bounds of the header columns."""
-        kinds = {EqualTo: "=", In: "in", GreaterThanOrEqual: ">=", LessThanOrEqual: "<=", IsNotNull: "set"}
-        for f in filters:
-            kind = kinds.get(type(f))
-            if kind and len(f.attribute) == 1 and f.attribute[0] in self.columns and f.attribute[0] != "payload":
-                self.tests.append((f.attribute[0], kind, getattr(f, "value", None)))
-            else:
-                yield f
 
     def partitions(self) -> list[_Range]:
         system, root = _open(self.path)
         with system.open_input_stream(f"{root}/{MANIFEST}") as f:
             files = json.loads(f.read())
-        return [_Range(f"{root}/{name}", a, min(a + self.split, size))
-                for name, size in files for a in range(0, size, self.split)] or [_Range("", 0, 0)]
+        return [_Range(f"{root}/{name}", a, b) for name, size, starts in files
+                for a, b in _ranges(starts, size, self.split)] or [_Range("", 0, 0)]
 
     def _passes(self, r: dict) -> bool:
         for column, kind, value in self.tests:
@@ -153,9 +161,7 @@ class _Reader(DataSourceReader):
         system, _ = _open(self.path)
         with system.open_input_file(partition.file) as f:
             at = partition.start
-            if at:
-                at = _next_record(f, at, partition.stop)
-            while at is not None and at < partition.stop:
+            while at < partition.stop:
                 f.seek(at)
                 head = _header(f)
                 r = _parsed(head)
@@ -168,6 +174,20 @@ class _Reader(DataSourceReader):
                 at = body + r["content_length"] + 4
 
 
+class _FilteringReader(_Reader):
+    """Reads the records that pass the filters on their headers."""
+
+    def pushFilters(self, filters: list[Filter]):
+        """Takes what headers decide: equality, membership and bounds of the header columns."""
+        kinds = {EqualTo: "=", In: "in", GreaterThanOrEqual: ">=", LessThanOrEqual: "<=", IsNotNull: "set"}
+        for f in filters:
+            kind = kinds.get(type(f))
+            if kind and len(f.attribute) == 1 and f.attribute[0] in self.columns and f.attribute[0] != "payload":
+                self.tests.append((f.attribute[0], kind, getattr(f, "value", None)))
+            else:
+                yield f
+
+
 def _header(f) -> bytes:
     head = b""
     while (end := head.find(b"\r\n\r\n")) < 0:
@@ -178,33 +198,6 @@ def _header(f) -> bytes:
     return head[:end]
 
 
-def _next_record(f, at: int, stop: int) -> int | None:
-    """The first record that begins in [at, stop). A payload may hold the mark: a candidate
-    counts if its header parses and another record, or the end, follows its payload."""
-    size, step, tail = f.size(), 1 << 20, b"\r\n\r\n" + _MARK
-    while at < stop:
-        f.seek(max(0, at - 4))
-        block = f.read(step + len(tail))
-        found = block.find(tail)
-        if found < 0 or found >= step:
-            at += step - 4
-            continue
-        at = max(0, at - 4) + found + 4
-        if at >= stop:
-            return None
-        try:
-            f.seek(at)
-            head = _header(f)
-            after = at + len(head) + 4 + _parsed(head)["content_length"]
-            f.seek(after)
-            if after + 4 == size or f.read(4 + len(_MARK)) == tail:
-                return at
-        except (ValueError, KeyError):
-            pass
-        at += 5
-    return None
-
-
 def _parsed(head: bytes) -> dict:
     lines = head.decode().split("\r\n")
     if lines[0] != _MARK.decode().strip():
@@ -232,10 +225,11 @@ class WarcSource(DataSource):
         return RECORDS
 
     def reader(self, schema: StructType) -> _Reader:
-        return _Reader(self.options["path"], int(self.options.get("split", SPLIT)), schema.names)
+        kind = _FilteringReader if self.options.get("pushdown") == "true" else _Reader
+        return kind(self.options["path"], int(self.options.get("split", SPLIT)), schema.names)
 
     def writer(self, schema: StructType, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"])
+        return _Writer(self.options["path"], int(self.options.get("step", SPLIT)))
 
 
 def records(pages: DataFrame) -> DataFrame:
@@ -261,20 +255,23 @@ def records(pages: DataFrame) -> DataFrame:
         F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
 
 
-def write(pages: DataFrame, to: str) -> None:
-    """Writes the archives of ``pages`` into the folder ``to``."""
+def write(pages: DataFrame, to: str, step: int = SPLIT) -> None:
+    """Writes the archives of ``pages`` into the folder ``to``; tasks can begin to read every ``step`` bytes."""
     pages.sparkSession.dataSource.register(WarcSource)
-    records(pages).write.format("warc").mode("append").option("path", to).save()
+    records(pages).write.format("warc").mode("append").option("path", to).option("step", step).save()
 
 
 def read(spark: SparkSession, path: str, columns: str = RECORDS, split: int = SPLIT) -> DataFrame:
     """Records of the archives in a folder; ``columns``: a schema of those that are wanted.
 
-    Turns on Spark's filter pushdown for Python sources in this session, which the reader needs.
+    A range has ``split`` bytes or, where the archives were written with a longer step, that. Filters
+    on header columns are tested before payloads are read if the session has Spark's pushdown for
+    Python sources on (PUSHDOWN) now and when the query runs; else Spark tests them afterwards.
     """
     spark.dataSource.register(WarcSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").schema(columns).option("path", path).option("split", split).load()
+    pushdown = spark.conf.get(PUSHDOWN, "false")
+    return (spark.read.format("warc").schema(columns).option("path", path).option("split", split)
+            .option("pushdown", pushdown).load())
 
 
 def archived(pages: DataFrame) -> DataFrame:

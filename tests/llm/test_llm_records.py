@@ -43,18 +43,32 @@ def test_archives_round_trip(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
 
 
+def inner_archive() -> str:
+    """Three whole records, as a page may hold them."""
+    row = {"record_type": "response", "record_id": "urn:page:9", "target_uri": "x", "page_id": 9, "refers_to": None,
+           "payload_digest": "0", "payload_bytes": 4, "payload": b"body"}
+    return (W.record(row) * 3).decode()
+
+
 def test_ranges_filters_and_projection(spark):
     to = scratch_path(spark, "test-warc")
-    rows = pages()
-    W.write(spark.createDataFrame(rows, PAGES).coalesce(1), to)
+    rows = pages() + [(90 + i, "inner", f"{'a' * i}{inner_archive()}", None, None) for i in range(3)]
+    W.write(spark.createDataFrame(rows, PAGES).coalesce(1), to, step=100)
     whole = W.read(spark, to)
-    for split in (150, 1000, 5000):
+    assert sorted(r.target_uri or "" for r in whole.collect()) == sorted(r[1] or "" for r in rows)
+    for split in (150, 1000, 2000, 5000):
         cut = W.read(spark, to, split=split)
+        assert cut.rdd.getNumPartitions() > 1
         assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
-    assert sorted(r.target_uri or "" for r in whole.collect()) == sorted(r[1] or "" for r in rows)
-    some = W.read(spark, to, "page_id long, record_type string").filter("record_type = 'response' and page_id >= 70")
-    assert sorted(r.page_id for r in some.collect()) == [70, 71, 72, 80]
-    reader = W._Reader(to, W.SPLIT, ["page_id"])
+    for on in ("true", "false"):
+        before = spark.conf.get(W.PUSHDOWN)
+        spark.conf.set(W.PUSHDOWN, on)
+        try:
+            some = W.read(spark, to, "page_id long, record_type string").filter("record_type = 'response' and page_id >= 70")
+            assert sorted(r.page_id for r in some.collect()) == [70, 71, 72, 80, 90, 91, 92]
+        finally:
+            spark.conf.set(W.PUSHDOWN, before)
+    reader = W._FilteringReader(to, W.SPLIT, ["page_id"])
     list(reader.pushFilters([W.EqualTo(("page_id",), 71)]))
     assert [r for p in reader.partitions() for r in reader.read(p)] == [(71,)]
     assert list(reader.pushFilters([W.EqualTo(("payload",), b"")])) != []
