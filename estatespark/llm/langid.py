@@ -19,19 +19,21 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut, small
+
 UNKNOWN = "und"
 _OTHER = regex.compile(r"[^\p{L}]+")
 
 
 @dataclass(frozen=True)
 class Params:
-    texts: int = 300  # sampled texts of a language, those with the least hash
-    chars: int = 1_000  # read of each sampled text, from its start
-    dictionary: int = 200_000  # bytes of a dictionary, at most
+    texts: int = 240  # different labelled texts of a language that it learns from, those with the least hash
+    pieces: int = 4  # of each, at places that the hash gives; a text no longer than all of them is taken whole
+    chars: int = 250  # of a piece
     level: int = 12
     tie_level: int = 19  # decides between encodings of equal length
     margin: float = 0.01  # of the best size; a narrower lead is rejected
-    languages: int = 1_000  # at most
+    languages: int = 1_000  # more raise an error
 
 
 def plain(text: str) -> str:
@@ -42,22 +44,29 @@ def plain(text: str) -> str:
 def learn(docs: DataFrame, use: Column, p: Params = Params()) -> dict[str, bytes]:
     """A dictionary for every lang among the rows of docs (text, lang) for which ``use`` holds.
 
-    Rows without text or lang teach nothing. The sample has the rows of the least text hash
-    of each language; partial top lists combine before they meet, whatever a language's share.
+    Rows without text or lang teach nothing, and copies of a text teach once. The sample has the
+    texts of the least hash of each language, and of a long text pieces from all over it; only hashes
+    are shuffled to find them, and partial top lists combine before they meet. The whole sample is
+    the dictionary. More languages than ``p.languages`` raise a ValueError.
     """
-    rows = (docs.filter(use).filter("text is not null and lang is not null")
-            .select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("mark"),
-                    F.substring(F.col("text").cast("string"), 1, p.chars).alias("head")).filter("head <> ''"))
-    # a first cut by task keeps any language's rows few before they meet
-    own = Window.partitionBy("lang", "slice").orderBy("mark", "head")
-    top = (rows.withColumn("slice", F.spark_partition_id()).withColumn("n", F.row_number().over(own))
-           .filter(F.col("n") <= p.texts).drop("n", "slice"))
-    best = top.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "head"))).filter(
-        F.col("n") <= p.texts)
+    text = F.col("text").cast("string")
+    rows = (docs.filter(use).filter("text is not null and text <> '' and lang is not null")
+            .select(F.col("lang").cast("string").alias("lang"), F.xxhash64(text).alias("mark"), text.alias("text")))
+    least = Window.partitionBy("lang").orderBy("mark")
+    best = cut(rows.select("lang", "mark").distinct().withColumn("n", F.row_number().over(least))
+               .filter(F.col("n") <= p.texts).drop("n"), "sample")
+    if best.select("lang").distinct().limit(p.languages + 1).count() > p.languages:
+        raise ValueError(f"more than {p.languages} languages")
+    length, whole = F.length("text"), p.pieces * p.chars
+    at = lambda i: (F.pmod(F.xxhash64("mark", i), length - p.chars + 1) + 1).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(p.pieces - 1)), lambda i: F.substring(F.col("text"), at(i), F.lit(p.chars)))
+    taken = F.when(length <= whole, F.array("text")).otherwise(pieces)
     found: dict[str, list[str]] = {}
-    for r in best.orderBy("lang", "n").limit(p.texts * p.languages).toLocalIterator():
-        found.setdefault(r.lang, []).append(plain(r.head))
-    return {lang: " ".join(texts).encode()[:p.dictionary] for lang, texts in sorted(found.items())}
+    picked = cut(rows.join(small(best), ["lang", "mark"], "left_semi").select("lang", "mark", taken.alias("pieces"))
+                 .dropDuplicates(["lang", "mark"]), "pieces")
+    for r in picked.orderBy("lang", "mark").toLocalIterator():  # p.texts * p.languages rows at most
+        found.setdefault(r.lang, []).extend(map(plain, r.pieces))
+    return {lang: " ".join(texts).encode() for lang, texts in sorted(found.items())}
 
 
 Compressors = list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]
@@ -100,7 +109,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], p: Params = Params(
     narrow lead and every ``und``. Equal rows have equal
     results; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # p.dictionary bytes a language
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # p.texts pieced texts a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = _compressors(shared, p)

@@ -1,6 +1,8 @@
 import random
 
 import pyarrow as pa
+import pytest
+import zstandard
 from estatespark.llm import langid as L
 from estatespark.llm import toxicity as X
 from llm_rows import awkward, frame, words
@@ -108,7 +110,7 @@ def test_held_out_languages_of_the_test_tables(spark):
 def test_languages_of_awkward_rows(spark):
     docs = frame(spark, awkward(), clash=True)
     known = L.learn(docs, F.lit(True))
-    assert set(known) == {"en", "de", "fr"} and all(len(d) <= L.Params().dictionary for d in known.values())
+    assert set(known) == {"en", "de", "fr"}
     got = L.predict(docs, known).collect()
     assert len(got) == len(awkward())
     for r in got:
@@ -118,6 +120,44 @@ def test_languages_of_awkward_rows(spark):
     assert L.learn(frame(spark, []), F.lit(True)) == {} and L.predict(frame(spark, []), known).collect() == []
 
 
+def test_predictions_match_plain_loops(spark):
+    """The shortest of the encodings with each dictionary, one text and dictionary at a time."""
+    rows = [r for r in awkward() if r[0] not in (90, 91)]
+    docs, p = frame(spark, rows), L.Params()
+    known = L.learn(docs, F.lit(True), p)
+
+    def size(text, raw, level):
+        d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False).compress(text))
+    for r, got in zip(rows, L.predict(docs, known, p).collect()):
+        words = " ".join("".join(c if c.isalpha() else " " for c in (r[1] or "").lower()).split())
+        if not words:
+            assert (got.lang_pred, got.score, got.rejected) == ("und", 0.0, True)
+            continue
+        raw = f" {words} ".encode()
+        by = sorted((size(raw, d, p.level), lang) for lang, d in known.items())
+        tied = [lang for n, lang in by if n == by[0][0]]
+        best = min((size(raw, known[lang], p.tie_level), lang) for lang in tied)[1]
+        assert got.lang_pred == best and abs(got.score - by[1][0] / (by[0][0] + by[1][0])) < 1e-12
+        assert got.rejected == (by[1][0] - by[0][0] < p.margin * by[0][0])
+
+
+def test_learning_sees_whole_texts_and_copies_once(spark):
+    rng = random.Random(4)
+    lists = {k: ["".join(rng.choice(k) for _ in range(8)) for _ in range(60)] for k in ("abcdefghijkl", "mnopqrstuvwz")}
+    word = lambda letters: rng.choice(lists[letters])
+    head = "the same english heading again and again " * 60
+    rows = [(i, head + " ".join(word("abcdefghijkl") for _ in range(3000)), "xx", None, None) for i in range(30)]
+    rows += [(100 + i, head + " ".join(word("mnopqrstuvwz") for _ in range(3000)), "yy", None, None) for i in range(30)]
+    rows += [(200 + i, head, "xx", None, None) for i in range(500)]  # copies
+    known = L.learn(frame(spark, rows), F.lit(True))
+    assert known["xx"].count(head.strip().encode()[:200]) <= 60 and known["xx"].count(b"a") > 2000 and known["yy"].count(b"z") > 2000
+    tests = [(1, " ".join(word("abcdefghijkl") for _ in range(80)), None, None, None), (2, " ".join(word("mnopqrstuvwz") for _ in range(80)), None, None, None)]
+    assert [r.lang_pred for r in L.predict(frame(spark, tests), known).collect()] == ["xx", "yy"]
+    with pytest.raises(ValueError, match="more than 1 languages"):
+        L.learn(frame(spark, rows), F.lit(True), L.Params(languages=1))
+
+
 def test_narrow_margins_are_rejected():
     by = L.compressors({"xx": b"abc def ghi jkl " * 20, "yy": b"abc def ghi jkl " * 20, "zz": b"stu vwx yz" * 20})
     assert L.classify("abc def ghi", by)[2] and L.classify("abc def ghi", by)[0] in ("xx", "yy")
