@@ -16,12 +16,12 @@ a band are a group, and the pairs of a group are never listed:
    groups are open. A level has one row for each class and open band, however large the groups are.
 
 Every link is confirmed on the full shingle sets. With the defaults a pair at the threshold
-of 0.8 shares no band with a probability of (1 - 0.8**5)**36 = 6e-7. A pair that shares bands
-can be missed only where neither is a hub on any level, nor both are linked with one: that is, in a
-dense family of texts around the threshold (recall there: 0.99 of the linked pairs).
-``exact`` then goes on with the open groups: each round takes another class of every open group as
-its hub, until no group is open, so every pair of classes in different components that share a band
-has been compared.
+of 0.8 shares no band with a probability of (1 - 0.8**5)**36 = 6e-7. What the hubs of no level
+reached is then compared all the same (``exact``), where it is in different components still: the
+pairs of groups of at most SMALL classes are listed; the classes of larger groups are dealt into
+clusters (groups that share classes) and blocks of bounded size, and one task compares all of two
+blocks, so that no pair becomes a row. So every pair of classes in different components that share
+a band has been compared.
 """
 
 from __future__ import annotations
@@ -47,13 +47,15 @@ class Params:
     rows: int = 5
     more: int = 5  # values that a band grows by on each further level
     levels: int = 3
-    exact: bool = False  # another hub for each open group, until none is open
+    exact: bool = True  # compare what the levels leave in different components
 
     @property
     def bands(self) -> int:
         return 2 * self.permutations // self.rows
 
 
+SMALL = 16  # classes of a group whose pairs are listed
+BLOCK_CLASSES, BLOCK_SHINGLES = 4096, 1 << 19  # of a block on average
 SLOTS = "node long, n long, slot int, band long"
 SKETCH = "rid long, doc_id long, k1 long, k2 long, n_shingles long, bands array<long>"
 
@@ -194,6 +196,67 @@ def _more_links(links: DataFrame, roots: DataFrame, found: DataFrame) -> tuple[D
     return links, components(links)
 
 
+def _apart_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """band, size, node, n, root: the members of groups that lie in different components."""
+    placed = members.select("band", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = (placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+             .filter("low <> high").select("band", "size"))
+    return cut(placed.join(open_, "band").select("band", "size", "node", "n", "root"), "rest")
+
+
+def _listed(groups: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The confirmed links (a, b) among all pairs of each group that are not in one component."""
+    one, two = (groups.select("band", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"root{x}"))
+                for x in "ab")
+    pairs = one.join(two, "band").filter("a < b and roota <> rootb").filter(_alike("na", "nb", p)).select("a", "b").distinct()
+    return cut(_confirmed(cut(pairs, "pairs"), sets, p), "links")
+
+
+def _joining(percent: int):
+    def run(block: pa.Table) -> pa.Table:
+        """Links (a, b) that join the components of two blocks' classes as all their links would."""
+        block = block.combine_chunks()
+        node, label, side = (block.column(c).to_numpy().copy() for c in ("node", "root", "side"))
+        names, label = np.unique(label, return_inverse=True)
+        lists = block.column("shingles").chunk(0)
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        starts = np.cumsum(size) - size
+        _, flat = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        has = np.zeros(int(flat.max()) + 1, bool)
+        a, b = [], []
+        for x in np.flatnonzero(label != np.bincount(label).argmax()):
+            own = flat[starts[x]:starts[x] + size[x]]
+            has[own] = True
+            common = np.add.reduceat(has[flat], starts, dtype=np.int64)
+            has[own] = False
+            hit = (100 * common >= percent * (size + size[x] - common)) & (label != label[x])
+            if side.min() < side.max():
+                hit &= side != side[x]
+            if hit.any():
+                met, first = np.unique(label[hit], return_index=True)
+                a += [int(node[x])] * len(met)
+                b += node[np.flatnonzero(hit)[first]].tolist()
+                label[np.isin(label, met)] = label[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
+def _compared(groups: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) that join the components of ``groups`` as all their links would."""
+    if not groups.limit(1).count():
+        return groups.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    first = groups.groupBy("band").agg(F.min("node").alias("b"))
+    clusters = components(groups.join(first, "band").select(F.col("node").alias("a"), "b").distinct())
+    nodes = cut(groups.select("node", "root", "n").distinct().join(clusters.withColumnRenamed("root", "cluster"), "node"), "nodes")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    dealt = (nodes.join(small(nodes.groupBy("cluster").agg(blocks.alias("blocks"))), "cluster")
+             .withColumn("side", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("cluster", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
+                     "side", "node", "root"))
+    return cut(dealt.join(sets, "node").groupBy("cluster", "low", "high").applyInArrow(_joining(p.percent), "a long, b long"), "links")
+
+
 def _links(classes: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """The confirmed links between classes that the levels find, and their components."""
     members = cut(_grouped(classes.select("node", "n", F.posexplode("bands").alias("slot", "band"))), "members")
@@ -220,13 +283,11 @@ def _links(classes: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, D
         members = cut(_grouped(cut(bands.join(sets, "node").mapInArrow(_longer(level, p), SLOTS), "slots")), "members")
         near = _near(members, _hubs(members, F.xxhash64("node", F.lit(level))), p)
         links, roots = _more_links(links, roots, _hub_links(_apart(near, roots), sets, p))
-    while p.exact:
-        rest = _open(rest, roots, 2)  # a written table, as is each round's
-        if not rest.limit(1).count():
-            break
-        hubs = cut(_hubs(rest, F.xxhash64("node", "band")), "hubs")
-        links, roots = _more_links(links, roots, _hub_links(_apart(_near(rest, hubs, p), roots), sets, p))
-        rest = rest.join(hubs.select("band", "hub"), "band").filter("node <> hub").drop("hub")
+    if p.exact:
+        rest = _apart_groups(rest, roots)
+        links, roots = _more_links(links, roots, _listed(rest.filter(F.col("size") <= SMALL), sets, p))
+        rest = _apart_groups(rest.filter(F.col("size") > SMALL), roots)
+        links, roots = _more_links(links, roots, _compared(rest, sets, p))
     return links, roots
 
 

@@ -115,6 +115,26 @@ def test_exact_goes_on_until_no_group_is_open(spark):
     assert same_rows(N.near_duplicates(frame(spark, rows), p).collect(), brute([(r[0], r[1]) for r in rows], 2))
 
 
+def spread(rng, families=6, size=60):
+    """Dense families around the threshold, whose links need not pass the hub."""
+    rows = []
+    for f in range(families):
+        base = words(rng, 120, 10 ** 6).split()
+        spots = rng.sample(range(120), 24)
+        for i in range(size):
+            copy = list(base)
+            for j in rng.sample(spots, rng.randrange(4, 20)):
+                copy[j] = f"{base[j]}x"
+            rows.append((f * 100 + i, " ".join(copy), None, None, None))
+    return rows
+
+
+def test_no_link_of_dense_families_is_left_out(spark):
+    rows = spread(random.Random(8))
+    got = N.near_duplicates(frame(spark, rows), N.Params(shingle=2)).collect()
+    assert same_rows(got, brute([(r[0], r[1]) for r in rows], 2))
+
+
 def test_candidates_grow_with_the_family_not_its_square(spark, monkeypatch):
     rows_of = []
     real = N._confirmed
