@@ -135,6 +135,14 @@ def test_no_link_of_dense_families_is_left_out(spark):
     assert same_rows(got, brute([(r[0], r[1]) for r in rows], 2))
 
 
+def test_keep_one_compares_blocks_of_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(N, "SMALL", 1)
+    monkeypatch.setattr(N, "BLOCK_CLASSES", 20)
+    rows = spread(random.Random(8), 3)
+    kept = sorted(r.doc_id for r in N.keep_one(frame(spark, rows), N.Params(shingle=2, levels=1)).collect())
+    assert kept == sorted(r[0] for r in brute([(r[0], r[1]) for r in rows], 2) if r[3])
+
+
 def test_candidates_grow_with_the_family_not_its_square(spark, monkeypatch):
     rows_of = []
     real = N._confirmed
