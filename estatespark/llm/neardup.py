@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
-from .common import cut, small
+from .common import cut, release, small
 from .graph import components
 
 
@@ -125,6 +125,8 @@ def _sets(p: Params, with_sets: bool):
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), b.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                  pa.array(n, pa.int64()), lists], names=["rid", "doc_id", "k1", "k2", "n_shingles", "bands"])
+            del k1, k2, n, out, at, flat, lists
+            release()
     return run
 
 
