@@ -1,5 +1,6 @@
 """Plan-shape checks: what the optimizer must do for these plans to hold at scale."""
 
+import os
 import re
 
 import pytest
@@ -94,3 +95,10 @@ def test_frequency_tables_scan_once_and_sort(spark):
     assert plan(df).count("FileScan csv") + plan(df).count("Scan csv") <= 2  # outline and details
     rows = [(r.column_name, -r.n) for r in df.collect()]
     assert rows == sorted(rows)
+
+
+def test_star_is_built_without_a_copy_of_the_flagged_rows(spark):
+    from estatespark.plans import layers
+    from estatespark.session import shared_dir
+    assert layers.star(spark, SF001).fact.count() > 0
+    assert not os.path.exists(f"{shared_dir(spark)}/estatespark/flagged")
