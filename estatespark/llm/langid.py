@@ -8,9 +8,10 @@ marked as rejected.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import cut, small
 
 UNKNOWN = "und"
+TOGETHER = 512  # texts that meet a dictionary one after the other
 _OTHER = regex.compile(r"[^\p{L}]+")
 
 
@@ -85,13 +87,26 @@ def compressors(dictionaries: dict[str, bytes], p: Params = Params()) -> Compres
     return [(lang, made(raw, p.level), made(raw, p.tie_level)) for lang, raw in dictionaries.items()]
 
 
-def classify(text: str | None, by: Compressors, p: Params = Params()) -> tuple[str, float, bool]:
-    """Language, score (the runner-up's share of the two best sizes) and whether the lead is narrow."""
-    words = plain(text or "")
-    if not words or not by:
-        return UNKNOWN, 0.0, True
-    raw = f" {words} ".encode()
-    size = sorted((len(c.compress(raw)), lang) for lang, c, _ in by)
+Found = tuple[str, float, bool]
+
+
+def classify_all(texts: Iterable[str | None], by: Compressors, p: Params = Params()) -> list[Found]:
+    """Language, score (the runner-up's share of the two best sizes) and whether the lead is narrow, for each text.
+
+    One dictionary after the other sees TOGETHER texts, so its tables stay in the processor's cache.
+    """
+    texts, out = iter(texts), []
+    while part := [plain(t or "") for t in islice(texts, TOGETHER)]:
+        raw = [f" {words} ".encode() for words in part]
+        sizes = [[len(c.compress(r)) if words else 0 for words, r in zip(part, raw)] for _, c, _ in by]
+        for i, words in enumerate(part):
+            out.append(_best(raw[i], [(s[i], lang) for s, (lang, _, _) in zip(sizes, by)], by, p) if words and by
+                       else (UNKNOWN, 0.0, True))
+    return out
+
+
+def _best(raw: bytes, sizes: list[tuple[int, str]], by: Compressors, p: Params) -> Found:
+    size = sorted(sizes)
     if len(size) == 1:
         return size[0][1], 1.0, False
     if size[0][0] == size[1][0]:
@@ -101,6 +116,11 @@ def classify(text: str | None, by: Compressors, p: Params = Params()) -> tuple[s
     return size[0][1], size[1][0] / (size[0][0] + size[1][0]), lead < p.margin
 
 
+def classify(text: str | None, by: Compressors, p: Params = Params()) -> Found:
+    """What ``classify_all`` finds for one text."""
+    return classify_all([text], by, p)[0]
+
+
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], p: Params = Params()) -> DataFrame:
     """doc_id, lang_pred, score, rejected for every row of ``docs`` (doc_id, text, any others).
 
@@ -114,7 +134,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], p: Params = Params(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = _compressors(shared, p)
         for b in batches:
-            found = [classify(t.as_py(), by, p) for t in b.column("text")]
+            found = classify_all((t.as_py() for t in b.column("text")), by, p)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],

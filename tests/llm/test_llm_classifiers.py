@@ -163,3 +163,22 @@ def test_narrow_margins_are_rejected():
     assert L.classify("abc def ghi", by)[2] and L.classify("abc def ghi", by)[0] in ("xx", "yy")
     assert not L.classify("stu vwx yz stu vwx", by)[2]
     assert L.classify("12 ,.", by) == ("und", 0.0, True)
+
+
+def test_a_dictionary_meets_many_texts_one_after_the_other(monkeypatch):
+    monkeypatch.setattr(L, "TOGETHER", 3)
+    met = []
+
+    class Counted:
+        def __init__(self, name, by):
+            self.name, self.by = name, by
+
+        def compress(self, raw):
+            met.append(self.name)
+            return self.by.compress(raw)
+
+    by = L.compressors({"xx": b"abc def ghi jkl " * 20, "yy": b"stu vwx yz " * 20})
+    texts = ["abc def", None, "vwx stu yz", "12", "ghi jkl ghi", ""]
+    counted = [(lang, Counted(lang, fast), slow) for lang, fast, slow in by]
+    assert L.classify_all(texts, counted) == [L.classify(t, by) for t in texts]
+    assert met == ["xx", "xx", "yy", "yy", "xx", "yy"] and L.classify_all(texts, []) == [("und", 0.0, True)] * 6
