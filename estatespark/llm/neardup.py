@@ -15,13 +15,15 @@ a band are a group, and the pairs of a group are never listed:
    them into smaller groups with hubs of their own; and so on for ``levels`` levels, as long as
    groups are open. A level has one row for each class and open band, however large the groups are.
 
-Every link is confirmed on the full shingle sets. With the defaults a pair at the threshold
-of 0.8 shares no band with a probability of (1 - 0.8**5)**36 = 6e-7. What the hubs of no level
-reached is then compared all the same (``exact``), where it is in different components still: the
-pairs of groups of at most SMALL classes are listed; the classes of larger groups are dealt into
-clusters (groups that share classes) and blocks of bounded size, and one task compares all of two
-blocks, so that no pair becomes a row. So every pair of classes in different components that share
-a band has been compared.
+Every link is confirmed on the full shingle sets. What the hubs of no level reached is then
+compared all the same (``exact``), where it is in different components still: the pairs of groups of
+at most SMALL classes are listed; the classes of larger groups are dealt into clusters (groups that
+share classes) and blocks of bounded size, and one task compares all of two blocks, so that no pair
+becomes a row. With the defaults a pair at the threshold of 0.8 shares no band with a probability of
+some 1e-6 (5e-6 for five shingles), so the bands alone are not enough. Last, every class
+is grouped by its prefix, the rarest shingles that are more than the threshold lets it lack: two sets that
+reach the threshold share the first of their common shingles in any order of all shingles, and it is in the
+prefixes of both. What these groups hold in different components is compared in the same way. So no link is left out.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as T
@@ -56,6 +59,7 @@ class Params:
 
 SMALL = 16  # classes of a group whose pairs are listed
 BLOCK_CLASSES, BLOCK_SHINGLES = 4096, 1 << 19  # of a block on average
+SAMPLE, SEEN, COMMON = 16, 3, 200_000  # one class of so many shows the common shingles; any choice of them gives the same links
 SLOTS = "node long, n long, slot int, band long"
 SKETCH = "rid long, doc_id long, k1 long, k2 long, n_shingles long, bands array<long>"
 
@@ -259,15 +263,71 @@ def _compared(groups: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     return cut(dealt.join(sets, "node").groupBy("cluster", "low", "high").applyInArrow(_joining(p.percent), "a long, b long"), "links")
 
 
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of docs that hold a text of each of these classes."""
+    return _keyed(docs).join(small(nodes.select(F.col("least_rid").alias("rid")).distinct()), "rid", "left_semi")
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """node, shingles of the classes ``nodes`` (node, k1, k2, least_rid)."""
+    return cut(_texts(docs, nodes).mapInArrow(_sets(p, True), SKETCH).join(nodes.select("node", "k1", "k2"), ["k1", "k2"])
+               .groupBy("node").agg(F.first("bands").alias("shingles")), "sets")
+
+
+def _prefix(s: np.ndarray, common: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, rare ones before common ones, one more than it may lack."""
+    k = len(s) + (-percent * len(s) // 100) + 1
+    if len(common):
+        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+        rank = np.where(common[at] == s, often[at], 0)
+        s = s[np.lexsort((s, rank))]
+    return s[:k]
+
+
+def _prefixes(p: Params, shared: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _sets(p, True)(batches):
+            lists = b.column("bands")
+            flat, at = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            out = [_prefix(flat[i:j], *shared.value, p.percent).view(np.int64) for i, j in zip(at[:-1], at[1:])]
+            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*out, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), found], names=["k1", "k2", "bands"])
+            del lists, flat, out, found
+            release()
+    return run
+
+
+def _by_prefix(docs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
+    """node, band, members, n: the classes of groups that share a shingle of their prefixes."""
+    some = classes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0).select("node", "k1", "k2", "least_rid")
+    seen = (_sets_of(docs, some, p).select(F.explode("shingles").alias("s")).groupBy("s").count()
+            .filter(F.col("count") >= SEEN).orderBy(F.col("count").desc(), "s").limit(COMMON).toPandas())
+    common, often = seen["s"].to_numpy(np.int64).view(np.uint64), seen["count"].to_numpy(np.int64)
+    order = np.argsort(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common[order], often[order]))  # COMMON pairs of numbers at most
+    found = (_texts(docs, classes).mapInArrow(_prefixes(p, shared), "k1 long, k2 long, bands array<long>")
+             .join(classes.select("node", "k1", "k2"), ["k1", "k2"]).select("node", F.explode("bands").alias("band")))
+    # one shuffle of all prefixes: nearly all of their shingles stand in one class alone
+    shared_by = found.withColumn("members", F.count("*").over(Window.partitionBy("band"))).filter("members > 1")
+    return cut(shared_by.join(classes.select("node", "n"), "node"), "members")
+
+
+def _compare(groups: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+    """All links and components after what the groups hold in different components was compared."""
+    rest = _apart_groups(groups, roots)
+    links, roots = _more_links(links, roots, _listed(rest.filter(F.col("size") <= SMALL), sets, p))
+    rest = _apart_groups(rest.filter(F.col("size") > SMALL), roots)
+    return _more_links(links, roots, _compared(rest, sets, p))
+
+
 def _links(classes: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """The confirmed links between classes that the levels find, and their components."""
     members = cut(_grouped(classes.select("node", "n", F.posexplode("bands").alias("slot", "band"))), "members")
     fullness = members.groupBy("node").agg(F.sum("members").alias("fullness"))
     members = cut(members.join(fullness, "node"), "members")
     nodes = cut(members.select("node").distinct().join(classes.select("node", "k1", "k2", "least_rid"), "node"), "nodes")
-    picked = _keyed(docs).join(small(nodes.select(F.col("least_rid").alias("rid")).distinct()), "rid", "left_semi")
-    sets = cut(picked.mapInArrow(_sets(p, True), SKETCH).join(nodes.select("node", "k1", "k2"), ["k1", "k2"])
-               .groupBy("node").agg(F.first("bands").alias("shingles")), "sets")
+    sets = _sets_of(docs, nodes, p)
 
     hubs = _hubs(members, F.col("fullness"))
     near = _near(members, hubs, p)
@@ -286,10 +346,10 @@ def _links(classes: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, D
         near = _near(members, _hubs(members, F.xxhash64("node", F.lit(level))), p)
         links, roots = _more_links(links, roots, _hub_links(_apart(near, roots), sets, p))
     if p.exact:
-        rest = _apart_groups(rest, roots)
-        links, roots = _more_links(links, roots, _listed(rest.filter(F.col("size") <= SMALL), sets, p))
-        rest = _apart_groups(rest.filter(F.col("size") > SMALL), roots)
-        links, roots = _more_links(links, roots, _compared(rest, sets, p))
+        links, roots = _compare(rest, links, roots, sets, p)
+        rest = _apart_groups(_by_prefix(docs, classes, p), roots)
+        nodes = cut(rest.select("node").distinct().join(classes.select("node", "k1", "k2", "least_rid"), "node"), "nodes")
+        links, roots = _compare(rest, links, roots, _sets_of(docs, nodes, p), p)
     return links, roots
 
 

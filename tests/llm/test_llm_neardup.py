@@ -143,6 +143,32 @@ def test_keep_one_compares_blocks_of_large_groups(spark, monkeypatch):
     assert kept == sorted(r[0] for r in brute([(r[0], r[1]) for r in rows], 2) if r[3])
 
 
+def test_keep_one_finds_links_that_share_no_band(spark, monkeypatch):
+    """With one band of ten values nine of ten pairs at the threshold share none."""
+    monkeypatch.setattr(N, "SAMPLE", 2)
+    rng = random.Random(12)
+    rows = []
+    for f in range(40):
+        base = words(rng, 49, 10 ** 6).split()
+        rows.append((f * 10 + 1, " ".join(["all these texts begin as this one does", *base]), None, None, None))
+        rows.append((f * 10, " ".join(["all these texts begin as this one does", *base[:-9]]), None, None, None))
+    rng.shuffle(rows)
+    want = brute([(r[0], r[1]) for r in rows], 5)
+    kept = sorted(r.doc_id for r in N.keep_one(frame(spark, rows), N.Params(permutations=5, rows=10)).collect())
+    assert kept == sorted(r[0] for r in want if r[3]) and len(kept) == 40
+
+
+def test_prefixes_of_sets_at_the_threshold_meet():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 4, 5, 9, 10, 50, 99):
+        for _ in range(40):
+            one = rng.integers(0, 2 ** 63, n).astype(np.uint64)
+            two = np.concatenate([one, rng.integers(0, 2 ** 63, n // 4).astype(np.uint64)])  # 4/5 at least
+            common = np.sort(rng.choice(two, len(two) // 2, replace=False))
+            often = rng.integers(3, 6, len(common))
+            assert len(np.intersect1d(*(N._prefix(np.sort(x), common, often, 80) for x in (one, two))))
+
+
 def test_candidates_grow_with_the_family_not_its_square(spark, monkeypatch):
     rows_of = []
     real = N._confirmed
