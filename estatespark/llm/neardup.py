@@ -173,7 +173,7 @@ def _hubs(members: DataFrame, rank: Column) -> DataFrame:
 def _near(members: DataFrame, hubs: DataFrame, p: Params) -> DataFrame:
     """(node, hub, rank) for classes and the hubs of their groups that can reach the threshold."""
     near = members.join(hubs, "band").filter("node <> hub").filter(_alike("n", "hub_n", p))
-    return cut(near.select("node", "hub", "rank").distinct(), "near")
+    return near.select("node", "hub", "rank").distinct()
 
 
 def _apart(near: DataFrame, roots: DataFrame) -> DataFrame:
@@ -197,12 +197,9 @@ def _open(members: DataFrame, roots: DataFrame, size: int) -> DataFrame:
     return cut(members.join(open_, "band"), "members")
 
 
-def _more_links(links: DataFrame, roots: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All links and their components after more were found."""
-    if not found.limit(1).count():
-        return links, roots
-    links = links.union(found)
-    return links, components(links)
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """The components after more links were found: only those links and the components they touch are gone through."""
+    return components(found, roots) if found.limit(1).count() else roots
 
 
 def _apart_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -255,7 +252,7 @@ def _compared(groups: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     if not groups.limit(1).count():
         return groups.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     first = groups.groupBy("band").agg(F.min("node").alias("b"))
-    clusters = components(groups.join(first, "band").select(F.col("node").alias("a"), "b").distinct())
+    clusters = components(cut(groups.join(first, "band").select(F.col("node").alias("a"), "b").distinct(), "chains"))
     nodes = cut(groups.select("node", "root", "n").distinct().join(clusters.withColumnRenamed("root", "cluster"), "node"), "nodes")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     dealt = (nodes.join(small(nodes.groupBy("cluster").agg(blocks.alias("blocks"))), "cluster")
@@ -316,29 +313,27 @@ def _by_prefix(docs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     return cut(shared_by.join(classes.select("node", "n"), "node"), "members")
 
 
-def _compare(groups: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
-    """All links and components after what the groups hold in different components was compared."""
+def _compare(groups: DataFrame, roots: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The components after what the groups hold in different components was compared."""
     rest = _apart_groups(groups, roots)
-    links, roots = _more_links(links, roots, _listed(rest.filter(F.col("size") <= SMALL), sets, p))
+    roots = _merged(roots, _listed(rest.filter(F.col("size") <= SMALL), sets, p))
     rest = _apart_groups(rest.filter(F.col("size") > SMALL), roots)
-    return _more_links(links, roots, _compared(rest, sets, p))
+    return _merged(roots, _compared(rest, sets, p))
 
 
-def _links(classes: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
-    """The confirmed links between classes that the levels find, and their components."""
+def _linked(classes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
+    """The components (node, root) of the confirmed links between classes."""
     members = cut(_grouped(classes.select("node", "n", F.posexplode("bands").alias("slot", "band"))), "members")
     fullness = members.groupBy("node").agg(F.sum("members").alias("fullness"))
-    members = cut(members.join(fullness, "node"), "members")
+    hubs = cut(_hubs(members.join(fullness, "node"), F.col("fullness")), "hubs")
     nodes = cut(members.select("node").distinct().join(classes.select("node", "k1", "k2", "least_rid"), "node"), "nodes")
     sets = _sets_of(docs, nodes, p)
 
-    hubs = _hubs(members, F.col("fullness"))
-    near = _near(members, hubs, p)
+    near = cut(_near(members, hubs, p), "near")
     first = F.max(F.struct("rank", (-F.col("hub")).alias("least")))  # the fullest of a class's hubs
     best = near.groupBy("node").agg(first.alias("best")).select("node", (-F.col("best.least")).alias("hub"))
-    links = _hub_links(best, sets, p)
-    roots = components(links)
-    links, roots = _more_links(links, roots, _hub_links(_apart(near, roots), sets, p))
+    roots = components(_hub_links(best, sets, p))
+    roots = _merged(roots, _hub_links(_apart(near, roots), sets, p))
     rest = members.join(hubs.select("band", "hub"), "band").filter("node <> hub").drop("hub")
     for level in range(2, p.levels + 1):
         members = _open(members, roots, 3)
@@ -347,14 +342,14 @@ def _links(classes: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, D
         bands = members.groupBy("node", "n").agg(F.collect_list(F.struct("slot", "band")).alias("open"))  # p.bands at most
         members = cut(_grouped(cut(bands.join(sets, "node").mapInArrow(_longer(level, p), SLOTS), "slots")), "members")
         near = _near(members, _hubs(members, F.xxhash64("node", F.lit(level))), p)
-        links, roots = _more_links(links, roots, _hub_links(_apart(near, roots), sets, p))
+        roots = _merged(roots, _hub_links(_apart(near, roots), sets, p))
     if p.exact:
-        links, roots = _compare(rest, links, roots, sets, p)
+        roots = _compare(rest, roots, sets, p)
     if p.prefixes:
         rest = _apart_groups(_by_prefix(docs, classes, p), roots)
         nodes = cut(rest.select("node").distinct().join(classes.select("node", "k1", "k2", "least_rid"), "node"), "nodes")
-        links, roots = _compare(rest, links, roots, _sets_of(docs, nodes, p), p)
-    return links, roots
+        roots = _compare(rest, roots, _sets_of(docs, nodes, p), p)
+    return roots
 
 
 def _versions(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -378,7 +373,7 @@ def _resolved(docs: DataFrame, p: Params) -> DataFrame:
         .agg(F.min("rid").alias("least_rid"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies"),
              F.max("n_shingles").alias("n"), F.first("bands").alias("bands"))  # equal sets have equal bands
         .withColumn("node", F.monotonically_increasing_id()), "classes")
-    links, roots = _more_links(*_links(classes, docs, p), cut(_versions(rows, classes), "versions"))
+    roots = _merged(_linked(classes, docs, p), cut(_versions(rows, classes), "versions"))
     ids = (roots.join(classes.select("node", "least_id", "least_rid"), "node").groupBy("root")
            .agg(F.min("least_id").alias("component_id"), F.min("least_rid").alias("root_rid")))
     named = cut(roots.join(ids, "root").select("node", "component_id", "root_rid"), "named")

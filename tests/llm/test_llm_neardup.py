@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from estatespark.llm import graph as G
 from estatespark.llm import neardup as N
 from estatespark.llm import textkit as T
 from estatespark.llm.graph import components
@@ -225,3 +226,42 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {got[i] for i in range(41)} == {0} and {got[100 + i] for i in range(30)} == {100}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def joined(edges):
+    """node: least node reachable, by plain loops."""
+    label = {x: x for e in edges for x in e}
+    while any(label[a] != label[b] for a, b in edges):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_found_later_join_known_components(spark, seed):
+    rng = random.Random(seed)
+    first = [(rng.randrange(90), rng.randrange(90)) for _ in range(50)]
+    later = [(rng.randrange(120), rng.randrange(120)) for _ in range(25)] + [(100, 100), first[0], first[0][::-1]]
+    known, found = (spark.createDataFrame(e, "a long, b long") for e in (first, later))
+    got = list(map(tuple, components(found, components(known)).collect()))
+    assert len(got) == len(dict(got)) and dict(got) == joined(first + later)
+
+
+def test_links_found_before_none_were_known(spark):
+    none = components(spark.createDataFrame([], "a long, b long"))
+    got = components(spark.createDataFrame([(3, 1), (2, 3)], "a long, b long"), none)
+    assert dict(map(tuple, got.collect())) == {1: 1, 2: 1, 3: 1}
+
+
+def test_stars_and_late_links_take_few_tables(spark, monkeypatch):
+    """Every table is a round of tasks on each shuffle partition, however small it is."""
+    tables = []
+    real = G.cut
+    monkeypatch.setattr(G, "cut", lambda df, name: tables.append(name) or real(df, name))
+    stars = spark.createDataFrame([(100 * s, 100 * s + i) for s in range(5) for i in range(1, 30)], "a long, b long")
+    known = components(stars)
+    assert len(tables) <= 3
+    tables.clear()
+    got = components(spark.createDataFrame([(3, 105), (217, 317)], "a long, b long"), known)
+    assert len(tables) <= 5
+    assert {r.root for r in got.collect()} == {0, 200, 400}
