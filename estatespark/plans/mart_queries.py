@@ -48,9 +48,9 @@ def q_mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     MT.published(spark, build_star(spark, P.flagged(spark, sf_dir, CFG).where("price >= 1000000"), CFG), root)
     MT.published(spark, st, root)
     now = MT.current(spark, root, CFG)
-    last = MT.versions(spark, root).agg(F.max("version").alias("version"))
+    last = MT.versions(spark, root).agg(F.max("version").alias("version")).scalar()
     return (now.fact.groupBy("sale_year").agg(F.count(F.lit(1)).alias("transactions"), F.sum("sale_price").alias("value"))
-            .join(F.broadcast(last)))  # one row
+            .withColumn("version", last))
 
 
 @register("q_dq_failing_rows")
