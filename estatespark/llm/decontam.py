@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
+from .common import releasing
 
 SLICE = 2 << 20
 
@@ -189,7 +190,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> Data
                     [b.column("doc_id").take(rows), pa.array([m.items[i][0] for i in cols[1]], pa.int64()),
                      pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
                     names=["doc_id", "item_id", "edits", "span_start", "span_end"])
-        out = out.unionByName(picked.mapInArrow(run, HITS))
+        out = out.unionByName(picked.mapInArrow(releasing(run), HITS))
     return out
 
 
@@ -202,5 +203,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> D
                 keep = np.ones(b.num_rows, bool)
                 keep[[f[0] for f in _found(b.column("text"), m)]] = False
                 yield b.filter(pa.array(keep))
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(releasing(run), docs.schema)
     return docs

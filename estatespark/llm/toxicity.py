@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
-from .common import cut
+from .common import cut, releasing
 
 # Identity terms that may stand for one another.
 IDENTITY_TERMS = (
@@ -174,7 +174,7 @@ def fit_frame(docs: DataFrame, labels: DataFrame, learn: Column, p: Params = Par
                      *(pa.array([x], pa.binary()) for x in found)],
                     names=["mark", "doc_id", "digest", "toxic", "own", "swapped"])
     order = ["mark", "doc_id", "digest", "row"]
-    rows = cut(sampled.mapInArrow(run, "mark long, doc_id long, digest string, toxic int, own binary, swapped binary")
+    rows = cut(sampled.mapInArrow(releasing(run), "mark long, doc_id long, digest string, toxic int, own binary, swapped binary")
                .withColumn("row", F.monotonically_increasing_id()), "features")
     kept = {r.row: i for i, r in enumerate(rows.select(*order).orderBy(*order).limit(p.sample).collect())}
     own: list[np.ndarray] = [np.zeros(0, np.int32)] * len(kept)
@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: Model, p: Params = Params()) -> DataFrame:
             yield b.append_column("score", pa.array(s, pa.float64())).append_column(
                 "predicted", pa.array((s >= 0.5).astype(np.int32), pa.int32()))
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, text string, score double, predicted int")
+    return picked.mapInArrow(releasing(run), "doc_id long, text string, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, model: Model, p: Params = Params()) -> DataFrame:
@@ -213,4 +213,4 @@ def keep_clean(docs: DataFrame, model: Model, p: Params = Params()) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(scores(b.column("text"), shared.value, p) < 0.5))
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline as P
 import public_tokenizers
-from estatespark.llm import decontam, mixing, neardup
+from estatespark.llm import common, decontam, mixing, neardup
 from estatespark.llm import queries as QS
 from llm_rows import DOCS, awkward, words
 from tokenizers import Tokenizer
@@ -26,6 +26,18 @@ def shingles(text, k=5):
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
+def test_workers_give_memory_back_behind_the_last_batch(monkeypatch):
+    said = []
+    monkeypatch.setattr(common, "release", lambda: said.append("released"))
+
+    def run(batches):
+        try:
+            yield from batches
+        finally:
+            said.append("ended")
+    assert list(common.releasing(run)(iter([1, 2]))) == [1, 2] and said == ["ended", "released"]
+
+
 def one_of_each(rows):
     """Ids that stay where the smallest of each component of linked texts does, by comparing all pairs."""
     sets = {r.doc_id: shingles(r.text) for r in rows}
